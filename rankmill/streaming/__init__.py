@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference reads finite files only: it has no stream source, watermark,
+windowed aggregation or stateful operator, so nothing is built here. The
+row-level operators (``rankmill.operators.features.row_features``, scoring
+with a fitted ranker) are plain projections and therefore also accept a
+streaming DataFrame; the per-search and per-hotel features need the whole
+table and stay batch-only.
+"""
