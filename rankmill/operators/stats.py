@@ -105,16 +105,32 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(pearson(a, b).alias("correlation"))
 
 
-def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, correlation) for all pairs a < b in ``cols`` order, one
-    aggregate pass (G17)."""
-    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    one = df.agg(*[pearson(a, b).alias(f"c{n}") for n, (a, b) in enumerate(pairs)])
-    return one.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{n}").alias("correlation")) for n, (a, b) in enumerate(pairs)])
-        )
+def _pair_correlations(df: DataFrame, pairs: list[tuple[str, Column, Column]]) -> DataFrame:
+    """(name, correlation) for many column pairs in one pass.
+
+    Each row is unpivoted into one (pair, a, b) entry per pair with both sides
+    present, and the moments are aggregated per pair: three aggregate
+    functions in total, computed partially in every map task, instead of a
+    projection with three aggregates per pair.
+    """
+    packed = F.array(
+        *[F.struct(F.lit(i).alias("k"), a.cast("double").alias("a"), b.cast("double").alias("b")) for i, (_, a, b) in enumerate(pairs)]
+    )
+    long = df.select(F.inline(packed)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    agg = long.groupBy("k").agg(
+        F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("correlation")
     )
+    names = df.sparkSession.createDataFrame([(i, n) for i, (n, _, _) in enumerate(pairs)], "k int, name string")
+    # every pair appears, also when it has no complete rows
+    return names.join(agg, "k", "left").select("name", "correlation")
+
+
+def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(col_a, col_b, correlation) for all pairs a < b in ``cols`` order."""
+    pairs = [(f"{cols[i]}\t{cols[j]}", F.col(cols[i]), F.col(cols[j])) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    out = _pair_correlations(df, pairs)
+    parts = F.split(F.col("name"), "\t")
+    return out.select(parts.getItem(0).alias("col_a"), parts.getItem(1).alias("col_b"), "correlation")
 
 
 def correlation_with(df: DataFrame, target: str, cols: list[str], fill_zero: list[str] = ()) -> DataFrame:
@@ -122,10 +138,9 @@ def correlation_with(df: DataFrame, target: str, cols: list[str], fill_zero: lis
     target itself removed; ``fill_zero`` columns have nulls replaced by 0."""
     fz = set(fill_zero)
     src = lambda c: F.coalesce(F.col(c), F.lit(0)) if c in fz else F.col(c)
-    feats = [c for c in cols if c != target]
-    one = df.agg(*[pearson(src(c), F.col(target)).alias(f"c{i}") for i, c in enumerate(feats)])
-    long = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("correlation")) for i, c in enumerate(feats)])))
-    return long.orderBy(F.desc_nulls_last("correlation"), "feature")
+    pairs = [(c, src(c), F.col(target)) for c in cols if c != target]
+    out = _pair_correlations(df, pairs).withColumnRenamed("name", "feature")
+    return out.orderBy(F.desc_nulls_last("correlation"), "feature")
 
 
 def chi2_2x2(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
