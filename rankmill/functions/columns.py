@@ -77,3 +77,12 @@ def numeric_columns(df: DataFrame, include_bool: bool = False) -> list[str]:
 def competitor_columns(df: DataFrame) -> list[str]:
     """Columns named like ``comp…`` and rate/inv/diff (P5)."""
     return [c for c in df.columns if "comp" in c and re.search(r"rate|inv|diff", c)]
+
+
+def stack_rows(entries, names: list[str]):
+    """Generator column turning each row into ``len(entries)`` rows, one per
+    entry (a list of Columns, one per output name). ``stack`` emits rows
+    directly inside the generated code, without building an array of structs
+    per input row."""
+    flat = [c for e in entries for c in e]
+    return F.stack(F.lit(len(entries)), *flat).alias(*names)

@@ -103,7 +103,7 @@ def parse_number(c) -> Column:
 
 def fmt_number(c, decimals: int = 4, na: str = "N/A") -> Column:
     """Fixed-decimal text, ``na`` for null."""
-    return F.coalesce(F.format_string(f"%.{decimals}f", col(c)), F.lit(na))
+    return F.when(col(c).isNotNull(), F.format_string(f"%.{decimals}f", col(c))).otherwise(F.lit(na))
 
 
 def percent_text(c, decimals: int = 2) -> Column:

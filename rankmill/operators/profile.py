@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankmill.functions.columns import stack_rows
 from rankmill.operators.quantiles import exact_quantiles
 
 
@@ -26,7 +27,7 @@ def missing_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     count and percentage, sorted by percentage descending."""
     cols = cols or df.columns
     counts = df.agg(F.count(F.lit(1)).alias("__n"), *[(F.count(F.lit(1)) - F.count(c)).alias(c) for c in cols])
-    long = counts.select("__n", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("missing_values")) for c in cols])))
+    long = counts.select("__n", stack_rows([[F.lit(c), F.col(c).cast("long")] for c in cols], ["column_name", "missing_values"]))
     return (
         long.where(F.col("missing_values") > 0)
         .select("column_name", "missing_values", (F.col("missing_values") * F.lit(100.0) / F.col("__n")).alias("percentage"))
@@ -45,7 +46,7 @@ def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool =
     cols = cols or df.columns
     fn = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
     one = df.agg(*[fn(c).alias(c) for c in cols])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("distinct_values")) for c in cols])))
+    return one.select(stack_rows([[F.lit(c), F.col(c).cast("long")] for c in cols], ["column_name", "distinct_values"]))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -76,20 +77,12 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
         qrows.append((c, *q))
     qdf = spark.createDataFrame(qrows, "column_name string, p25 double, p50 double, p75 double")
     long = one.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.col(f"{c}__count").cast("long").alias("count"),
-                        F.col(f"{c}__mean").alias("mean"),
-                        F.col(f"{c}__std").alias("std"),
-                        F.col(f"{c}__min").alias("min"),
-                        F.col(f"{c}__max").alias("max"),
-                    )
-                    for c in cols
-                ]
-            )
+        stack_rows(
+            [
+                [F.lit(c), F.col(f"{c}__count").cast("long"), F.col(f"{c}__mean"), F.col(f"{c}__std"), F.col(f"{c}__min"), F.col(f"{c}__max")]
+                for c in cols
+            ],
+            ["column_name", "count", "mean", "std", "min", "max"],
         )
     )
     return long.join(qdf, "column_name").select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

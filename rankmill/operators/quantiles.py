@@ -62,6 +62,49 @@ def _kth(values: DataFrame, k: int, n: int, accuracy: int, final_rows: int) -> f
     return row["v"]
 
 
+def _kth_many(values: DataFrame, ks: list[int], n: int, accuracy: int, final_rows: int) -> dict[int, float]:
+    """Several order statistics with shared passes: one sketch job and one
+    counting job bracket every k; brackets small enough are ranked together
+    in one job; the rest (very large inputs) continue with ``_kth``."""
+    d = 3.0 / accuracy
+    probs = []
+    for k in ks:
+        p = (k + 0.5) / n
+        probs += [max(0.0, p - d), min(1.0, p + d)]
+    qs = values.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()["q"]
+    br = {k: (qs[2 * i], qs[2 * i + 1]) for i, k in enumerate(ks)}
+    aggs = []
+    for i, k in enumerate(ks):
+        a, b = br[k]
+        aggs += [F.count(F.when(F.col("v") < a, 1)).alias(f"lt{i}"), F.count(F.when((F.col("v") >= a) & (F.col("v") <= b), 1)).alias(f"in{i}")]
+    cnt = values.agg(*aggs).first()
+    out: dict[int, float] = {}
+    small = []
+    for i, k in enumerate(ks):
+        lt, inb = cnt[f"lt{i}"], cnt[f"in{i}"]
+        if lt <= k < lt + inb and inb <= final_rows:
+            small.append((i, k, lt))
+        else:
+            out[k] = _kth(values, k, n, accuracy, final_rows)
+    if small:
+        parts = None
+        for i, k, lt in small:
+            a, b = br[k]
+            part = values.where((F.col("v") >= a) & (F.col("v") <= b)).select(F.lit(i).alias("i"), "v")
+            parts = part if parts is None else parts.unionByName(part)
+        targets = {i: k - lt + 1 for i, k, lt in small}
+        # at most len(small) * final_rows rows reach this window
+        ranked = parts.withColumn("_r", F.row_number().over(Window.partitionBy("i").orderBy("v")))
+        cond = None
+        for i, t in targets.items():
+            c = (F.col("i") == i) & (F.col("_r") == t)
+            cond = c if cond is None else cond | c
+        got = {r["i"]: r["v"] for r in ranked.where(cond).collect()}
+        for i, k, _ in small:
+            out[k] = got[i]
+    return out
+
+
 def exact_quantiles(df: DataFrame, column: str, probs, accuracy: int = ACCURACY, final_rows: int = FINAL_ROWS) -> list:
     """Linear-interpolation quantiles (the SQL ``quantile_cont`` rule) of the
     non-null values of ``column``; None for an empty column."""
@@ -69,19 +112,14 @@ def exact_quantiles(df: DataFrame, column: str, probs, accuracy: int = ACCURACY,
     n = values.count()
     if n == 0:
         return [None for _ in probs]
-    cache: dict[int, float] = {}
-
-    def kth(k):
-        if k not in cache:
-            cache[k] = _kth(values, k, n, accuracy, final_rows)
-        return cache[k]
-
+    pos = [(n - 1) * float(p) for p in probs]
+    ks = sorted({k for x in pos for k in (math.floor(x), math.ceil(x))})
+    vals = _kth_many(values, ks, n, accuracy, final_rows)
     out = []
-    for p in probs:
-        pos = (n - 1) * float(p)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        vlo, vhi = kth(lo), kth(hi)
-        out.append(vlo + (vhi - vlo) * (pos - lo))
+    for x in pos:
+        lo, hi = math.floor(x), math.ceil(x)
+        vlo, vhi = vals[lo], vals[hi]
+        out.append(vlo + (vhi - vlo) * (x - lo))
     return out
 
 

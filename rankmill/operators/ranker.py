@@ -39,6 +39,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankmill.functions.columns import stack_rows
 from rankmill.operators.ranking import discount, gain, mean_ndcg
 from rankmill.schema import GROUP_COL, LABEL_COL
 from rankmill.session import checkpoint_dir
@@ -213,11 +214,9 @@ class LambdaMART:
         g_i = F.when(F.col("i_high"), F.col("lam")).otherwise(-F.col("lam"))
         contrib = pairs.select(
             group,
-            F.inline(
-                F.array(
-                    F.struct(F.col("i_rn").alias("_rn"), g_i.alias("g"), F.col("hess").alias("h"), F.abs("lam").alias("a")),
-                    F.struct(F.col("j_rn").alias("_rn"), (-g_i).alias("g"), F.col("hess").alias("h"), F.abs("lam").alias("a")),
-                )
+            stack_rows(
+                [[F.col("i_rn"), g_i, F.col("hess"), F.abs("lam")], [F.col("j_rn"), -g_i, F.col("hess"), F.abs("lam")]],
+                ["_rn", "g", "h", "a"],
             ),
         )
         per_row = contrib.groupBy(group, "_rn").agg(F.sum("g").alias("_g"), F.sum("h").alias("_h"), F.sum("a").alias("_a"))

@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankmill.functions.columns import stack_rows
 from rankmill.operators.quantiles import exact_quantile
 
 
@@ -113,10 +114,8 @@ def _pair_correlations(df: DataFrame, pairs: list[tuple[str, Column, Column]]) -
     functions in total, computed partially in every map task, instead of a
     projection with three aggregates per pair.
     """
-    packed = F.array(
-        *[F.struct(F.lit(i).alias("k"), a.cast("double").alias("a"), b.cast("double").alias("b")) for i, (_, a, b) in enumerate(pairs)]
-    )
-    long = df.select(F.inline(packed)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    gen = stack_rows([[F.lit(i), a.cast("double"), b.cast("double")] for i, (_, a, b) in enumerate(pairs)], ["k", "a", "b"])
+    long = df.select(gen).where(F.col("a").isNotNull() & F.col("b").isNotNull())
     agg = long.groupBy("k").agg(
         F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("correlation")
     )
