@@ -82,3 +82,21 @@ def test_plans_have_no_python_udf_and_partial_topk(spark):
     nd = ndcg_per_group(add_relevance(df).withColumn("s", -F.col("price_usd")), "s")
     p2 = nd._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p2 and "Partial" in p2
+
+
+def test_train_predict_run_writes_submission_and_log(spark):
+    from rankmill.plans.report import summarize as summ
+    from rankmill.plans.train import run
+    from rankmill.schema import TRAIN_ONLY_COLS
+    from rankmill.sources.bridge import impressions
+
+    d = tempfile.mkdtemp(prefix="rm-run-")
+    df = impressions(spark, "/root/testdata/sf0.001")
+    test = df.drop(*TRAIN_ONLY_COLS)
+    log = run(df, test, submission_dir=os.path.join(d, "sub"), log_dir=os.path.join(d, "logs"), params={"n_estimators": 2, "learning_rate": 0.1})
+    assert log["data_summary"]["num_features_used"] == 117
+    assert log["model_training_results"]["validation_ndcg_at_5"] != "Not available"
+    sub = spark.read.option("header", True).csv(os.path.join(d, "sub", f"submission_{log['run_timestamp']}"))
+    assert sub.columns == ["SearchId", "PropertyId"] and sub.count() == df.count()
+    runs = summ(spark, os.path.join(d, "logs"))["runs"].collect()
+    assert len(runs) == 1 and runs[0].num_features == 117
