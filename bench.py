@@ -39,7 +39,11 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="rankmill-bench",
         shuffle_partitions=cpus * 2,
-        extra_conf={"spark.driver.memory": "16g"},
+        extra_conf={
+            "spark.driver.memory": "16g",
+            # long sessions generate much code; a full JIT code cache silently stops compilation
+            "spark.driver.extraJavaOptions": "-XX:ReservedCodeCacheSize=1g -XX:+UseParallelGC",
+        },
     )
     scratch = tempfile.mkdtemp(prefix="rankmill-bench-")
     times: dict[str, float] = {}

@@ -41,12 +41,32 @@ def missing_share(df: DataFrame, column: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Distinct non-null values per column (G8). Exact by default; ``approx``
-    uses HyperLogLog++ sketches (one pass, no per-column expansion)."""
+    """Distinct non-null values per column.
+
+    Exact: every row is unpivoted to (column, value text) pairs with ``stack``;
+    duplicates collapse in each map task, then the distinct pairs are counted
+    per column (two small shuffles, no per-column expansion of wide rows).
+    Doubles are normalised first so that 0.0 and -0.0 count once.
+    ``approx`` uses HyperLogLog++ sketches instead.
+    """
     cols = cols or df.columns
-    fn = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    one = df.agg(*[fn(c).alias(c) for c in cols])
-    return one.select(stack_rows([[F.lit(c), F.col(c).cast("long")] for c in cols], ["column_name", "distinct_values"]))
+    if approx:
+        one = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
+        return one.select(stack_rows([[F.lit(c), F.col(c).cast("long")] for c in cols], ["column_name", "distinct_values"]))
+    types = dict(df.dtypes)
+
+    def text(c):
+        v = F.col(c)
+        if types[c] in ("double", "float"):
+            v = F.when(v == 0, F.lit(0.0)).otherwise(v)
+        return v.cast("string")
+
+    long = df.select(stack_rows([[F.lit(c), text(c)] for c in cols], ["column_name", "v"])).where(F.col("v").isNotNull())
+    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n")).groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("distinct_values")
+    )
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return names.join(counts, "column_name", "left").select("column_name", F.coalesce("distinct_values", F.lit(0)).cast("long").alias("distinct_values"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
