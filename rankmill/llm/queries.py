@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from rankmill.llm.substring_dedup import op4_substring_dedup
+from rankmill.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
