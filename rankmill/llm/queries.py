@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from rankmill.llm import quality
+from rankmill.llm.quality import op6_quality_rules
 from rankmill.llm.substring_dedup import op4_substring_dedup
 from rankmill.llm.toxicity import op7_toxicity
+from rankmill.llm.warc import op8_warc
 
 QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": quality.ORACLE_SQL,
+}
