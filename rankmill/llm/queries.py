@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rankmill.llm import quality
+from rankmill.llm.decontaminate import op10_decontamination
 from rankmill.llm.quality import op6_quality_rules
 from rankmill.llm.substring_dedup import op4_substring_dedup
 from rankmill.llm.toxicity import op7_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
