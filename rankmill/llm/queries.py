@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from rankmill.llm import quality
 from rankmill.llm.decontaminate import op10_decontamination
+from rankmill.llm.langid import op3_language_id
 from rankmill.llm.quality import op6_quality_rules
 from rankmill.llm.substring_dedup import op4_substring_dedup
 from rankmill.llm.toxicity import op7_toxicity
 from rankmill.llm.warc import op8_warc
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
