@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from rankmill.llm import quality
+from rankmill.llm import licenses, quality
+from rankmill.llm.bpe import op2_bpe
 from rankmill.llm.decontaminate import op10_decontamination
 from rankmill.llm.langid import op3_language_id
+from rankmill.llm.licenses import op9_license_scan
 from rankmill.llm.quality import op6_quality_rules
 from rankmill.llm.substring_dedup import op4_substring_dedup
 from rankmill.llm.toxicity import op7_toxicity
 from rankmill.llm.warc import op8_warc
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
+    "op9_license_scan": op9_license_scan,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op6_quality_rules": quality.ORACLE_SQL,
+    "op9_license_scan": licenses.ORACLE_SQL,
 }
