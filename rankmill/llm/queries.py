@@ -7,15 +7,19 @@ from rankmill.llm.bpe import op2_bpe
 from rankmill.llm.decontaminate import op10_decontamination
 from rankmill.llm.langid import op3_language_id
 from rankmill.llm.licenses import op9_license_scan
+from rankmill.llm.ngram_join import op1_ngram_jaccard
 from rankmill.llm.quality import op6_quality_rules
 from rankmill.llm.substring_dedup import op4_substring_dedup
+from rankmill.llm.suffix_dedup import op5_suffix_array_dedup
 from rankmill.llm.toxicity import op7_toxicity
 from rankmill.llm.warc import op8_warc
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,

@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, usable, max_rows: int = MAX_TRAIN_
 
 
 def score_documents(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """``docs`` with a last column ``toxicity`` (score, n_clauses); other columns stay, whatever their names."""
+    """One row per document: ``row`` (all its columns) and ``toxicity`` (score, n_clauses)."""
     terms, weights = grammar.terms, grammar.weights
 
     def run(batches):
@@ -196,8 +196,7 @@ def score_documents(docs: DataFrame, grammar: Grammar) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("row"), out], ["row", "toxicity"])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("__text"))
-    scored = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, toxicity struct<score:double,n_clauses:bigint>")
-    return scored.select("row.*", "toxicity") if "toxicity" not in docs.columns else scored.select(F.col("row"), "toxicity")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, toxicity struct<score:double,n_clauses:bigint>")
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
@@ -208,4 +207,4 @@ def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     grammar = train(docs, labels, ~held)
     scored = score_documents(docs.select("doc_id", "text"), grammar)
     score = F.col("toxicity.score")
-    return scored.select("doc_id", held.alias("held_out"), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"), F.col("toxicity.n_clauses").alias("n_clauses"))
+    return scored.select("row.doc_id", "toxicity").select("doc_id", held.alias("held_out"), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"), F.col("toxicity.n_clauses").alias("n_clauses"))
