@@ -37,11 +37,16 @@ from rankmill.llm import wordhash as wh
 WINDOW = 13
 SEED_WORDS = 5
 
+# A text's tag (31 bits of its checksum) tells texts under one id apart;
+# run = tag * 2^32 + 2 * (first word + 1) + (1 if the run's words occur again in the text).
+_TAG_SHIFT = 32
+# A seed row's place is 4 * (word or hash) + kind; narrow rows make the largest shuffle small.
 _KNOWN, _OPEN, _MARK, _COPY = 0, 1, 2, 3
-_SEED_SCHEMA = "key long, key2 long, doc_id long, pos int, kind int"
-_SEED_ARROW = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("kind", pa.int32())])
-_RUN_SCHEMA = "key long, key2 long, doc_id long, tag long, pos int, kind int"
-_RUN_ARROW = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("pos", pa.int32()), ("kind", pa.int32())])
+_SEED_SCHEMA = "key long, doc_id long, place long"
+_SEED_ARROW = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())])
+# A run row whose key2 is 0 is settled.
+_RUN_SCHEMA = "key long, key2 long, doc_id long, run long"
+_RUN_ARROW = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("doc_id", pa.int64()), ("run", pa.int64())])
 
 
 def _batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
@@ -61,6 +66,11 @@ def _several(new: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return group, doc[first][group], (doc[last] != doc[first])[group]
 
 
+def _copy_mark(text_hash: np.ndarray) -> np.ndarray:
+    """A negative place that says: the text with this hash copies an earlier document."""
+    return -1 - (text_hash >> np.uint64(34)).astype(np.int64)
+
+
 def _seed_rows(window: int, k: int):
     def run(batches):
         for batch in batches:
@@ -78,8 +88,8 @@ def _seed_rows(window: int, k: int):
                 lead = rows[new]
                 skip = np.zeros(len(ids), bool)
                 skip[copy] = True
-                yield _batch(_SEED_ARROW, _spread(ids[copy], copy), np.zeros(len(copy), np.int64), ids[copy], np.full(len(copy), -1), np.full(len(copy), _KNOWN))
-                yield _batch(_SEED_ARROW, wh.signed(whole1[lead]), wh.signed(whole2[lead] | np.uint64(1)), ids[lead], np.full(len(lead), -1), np.full(len(lead), _COPY))
+                yield _batch(_SEED_ARROW, _spread(ids[copy], copy), ids[copy], 4 * _copy_mark(whole2[copy]) + _KNOWN)
+                yield _batch(_SEED_ARROW, wh.signed(whole1[lead]), ids[lead], wh.signed(whole2[lead] | np.uint64(_COPY)))
                 ok = wh.whole(w.row, window)
                 if not len(ok):
                     continue
@@ -90,33 +100,38 @@ def _seed_rows(window: int, k: int):
                 doc, pos, key = ids[w.row[at]], w.position()[at], g[at]
                 order = np.lexsort((doc, key))
                 doc, pos, key = doc[order], pos[order], key[order]
+                once = wh.group_starts(key, doc) if len(key) else np.zeros(0, bool)  # _extend finds the repeats in a text again
+                doc, pos, key = doc[once], pos[once], key[once]
                 new = wh.group_starts(key)
                 _, _, many = _several(new, doc) if len(key) else (None, None, new)
                 mark = new & many
                 for pick, kind in ((many, _KNOWN), (mark, _MARK), (~many, _OPEN)):
                     deal = _spread(doc[pick], pos[pick]) if kind == _KNOWN else wh.signed(key[pick])
-                    yield _batch(_SEED_ARROW, deal, np.zeros(pick.sum(), np.int64), doc[pick], pos[pick], np.full(pick.sum(), kind))
+                    yield _batch(_SEED_ARROW, deal, doc[pick], 4 * pos[pick] + kind)
 
     return run
 
 
 def _shared_places(batches):
-    """(doc_id, pos) of anchors that two documents have; pos -1: a copy of an earlier document."""
+    """(doc_id, pos) of anchors that two documents have; a negative pos marks a copy of an earlier document."""
     schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32())])
-    for c in wh.whole_groups(batches, ["key", "key2"]):
-        known = c["kind"] == _KNOWN
-        new = wh.group_starts(c["key"], c["key2"])
-        _, least, many = _several(new, c["doc_id"])
+    for c in wh.whole_groups(batches, ["key"]):
+        kind, pos = c["place"] & 3, c["place"] >> 2
+        text = np.where(kind == _COPY, pos, -1)  # the second half of a whole text's hash
+        order = np.lexsort((c["doc_id"], text, c["key"]))
+        key, doc, kind, pos, text = c["key"][order], c["doc_id"][order], kind[order], pos[order], text[order]
+        new = wh.group_starts(key, text)
+        group, least, many = _several(new, doc)
         # a mark stands for two documents of its slice, so it settles its group alone
-        group = np.cumsum(new) - 1
         marked = np.zeros(group[-1] + 1, bool)
-        marked[group[c["kind"] == _MARK]] = True
-        out = known | ((c["kind"] == _OPEN) & (many | marked[group])) | ((c["kind"] == _COPY) & (c["doc_id"] > least))
-        yield _batch(schema, c["doc_id"][out], c["pos"][out])
+        marked[group[kind == _MARK]] = True
+        out = (kind == _KNOWN) | ((kind == _OPEN) & (many | marked[group])) | ((kind == _COPY) & (doc > least))
+        mark = _copy_mark(pos.astype(np.uint64) << np.uint64(2))
+        yield _batch(schema, doc[out], np.where(kind == _COPY, mark, pos)[out])
 
 
 def _extend(window: int, k: int):
-    def run(batches):
+    def extend(batches):
         for batch in batches:
             for part in wh.slices(batch):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -127,83 +142,101 @@ def _extend(window: int, k: int):
                 size = np.diff(np.frombuffer(places.buffers()[1], np.int32)[places.offset : places.offset + len(places) + 1])
                 owner = np.repeat(np.arange(len(ids)), size)
                 copy = np.zeros(len(ids), bool)
-                copy[owner[flat < 0]] = True
-                yield _batch(_RUN_ARROW, _spread(ids[copy], tags[copy]), np.zeros(copy.sum(), np.int64), ids[copy], tags[copy], np.full(copy.sum(), -1), np.full(copy.sum(), _KNOWN))
                 h = wh.word_hashes(w)
+                copy[owner[flat == _copy_mark(wh.row_hashes(h, w, salt=0x51ED))[owner]]] = True
+                yield _batch(_RUN_ARROW, _spread(ids[copy], tags[copy]), np.zeros(copy.sum(), np.int64), ids[copy], tags[copy] << _TAG_SHIFT)
                 ok = wh.whole(w.row, window)
                 if not len(ok):
                     continue
-                seed = np.zeros(len(h), bool)
-                fits = (flat >= 0) & (flat < w.counts[owner]) & ~copy[owner]
-                seed[(w.first[owner] + flat)[fits]] = True
-                at = wh.winnow(wh.ngram_hashes(h, k), ok, window - k + 1)
-                start = np.flatnonzero(ok & seed[np.maximum(at, 0)] & (at >= 0))
-                h1, h2 = wh.ngram_hashes(h, window)[start], wh.ngram_hashes(wh.word_hashes(w, 1), window)[start]
+                fits = (flat >= 0) & (flat < w.counts[owner] - k + 1) & ~copy[owner]
+                seeds = (w.first[owner] + flat)[fits]
+                g = wh.ngram_hashes(h, k)
+                own = g ^ wh.mix(w.row[: len(g)].astype(np.uint64))  # an anchor within its text
+                at = wh.winnow(g, ok, window - k + 1)
+                start = np.flatnonzero(at >= 0)
+                start = start[np.isin(own[at[start]], own[seeds])]
+                h1 = wh.ngram_hashes(h, window)[start]
+                h2 = wh.ngram_hashes(wh.word_hashes(w, 1), window)[start] | np.uint64(1)
                 row = w.row[start]
-                doc, tag, pos = ids[row], tags[row], w.position()[start]
-                order = np.lexsort((doc, h2, h1))
-                h1, h2, doc, tag, pos = h1[order], h2[order], doc[order], tag[order], pos[order]
+                doc, run = ids[row], (tags[row] << _TAG_SHIFT) + 2 * (w.position()[start] + 1)
+                order = np.lexsort((run, doc, h2, h1))
+                h1, h2, doc, run = h1[order], h2[order], doc[order], run[order]
+                # a run that repeats within a text is one row, marked so that _cut finds the repeats again
+                once = wh.group_starts(h1, h2, run >> _TAG_SHIFT, doc) if len(doc) else np.zeros(0, bool)
+                first = np.flatnonzero(once)
+                several = np.diff(np.append(first, len(doc))) > 1
+                h1, h2, doc, run = h1[first], h2[first], doc[first], run[first] + several
                 new = wh.group_starts(h1, h2)
                 _, least, _ = _several(new, doc) if len(doc) else (None, doc, None)
                 known = doc > least
-                deal = np.where(known, _spread(doc, pos), wh.signed(h1))
-                yield _batch(_RUN_ARROW, deal, np.where(known, 0, wh.signed(h2)), doc, tag, pos, np.where(known, _KNOWN, _OPEN))
+                yield _batch(_RUN_ARROW, np.where(known, _spread(doc, run), wh.signed(h1)), np.where(known, 0, wh.signed(h2)), doc, run)
 
-    return run
+    return extend
 
 
 def _matches(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("pos", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("run", pa.int64())])
     for c in wh.whole_groups(batches, ["key", "key2"]):
         _, least, _ = _several(wh.group_starts(c["key"], c["key2"]), c["doc_id"])
-        out = (c["kind"] == _KNOWN) | (c["doc_id"] > least)
-        yield _batch(schema, c["doc_id"][out], c["tag"][out], c["pos"][out])
+        out = (c["key2"] == 0) | (c["doc_id"] > least)
+        yield _batch(schema, c["doc_id"][out], c["run"][out])
 
 
-def matching_runs(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
-    """(doc_id, tag, runs): first words of the runs of ``window`` words that start in an earlier document.
+def matching_runs(docs: DataFrame, dealt: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
+    """(doc_id, runs): packed (tag, first word) of the runs of ``window`` words that start in an earlier document.
 
-    ``docs`` has doc_id, tag and text; runs is [-1] for a whole copy of an earlier document.
+    ``docs`` has doc_id, tag and text; ``dealt`` are the same rows dealt by
+    doc_id. First word -1 says that all of the text copies an earlier document.
     """
-    known = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    seeds = known.select("doc_id", "text").mapInArrow(_seed_rows(window, seed_words), _SEED_SCHEMA)
-    seeds = seeds.repartition("key", "key2").sortWithinPartitions("key", "key2", "doc_id")
+    seeds = docs.select("doc_id", "text").mapInArrow(_seed_rows(window, seed_words), _SEED_SCHEMA)
+    seeds = seeds.repartition("key").sortWithinPartitions("key", "doc_id")
     places = seeds.mapInArrow(_shared_places, "doc_id long, pos int")
     places = places.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
-    seeded = docs.join(places, "doc_id").select("doc_id", "tag", F.coalesce("text", F.lit("")).alias("text"), "places")
+    seeded = dealt.join(places, "doc_id")
     runs = seeded.mapInArrow(_extend(window, seed_words), _RUN_SCHEMA)
     runs = runs.repartition("key", "key2").sortWithinPartitions("key", "key2", "doc_id")
-    runs = runs.mapInArrow(_matches, "doc_id long, tag long, pos int")
-    return runs.groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("runs"))
+    runs = runs.mapInArrow(_matches, "doc_id long, run long")
+    return runs.groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
+
+
+def _with_repeats(words: list[bytes], at: np.ndarray, several: np.ndarray, window: int) -> np.ndarray:
+    """``at`` and all places whose ``window`` words equal those at a place of ``several``."""
+    number: dict[bytes, int] = {}
+    codes = wh.mix(np.array([number.setdefault(x, len(number)) for x in words], np.uint64))
+    g = wh.ngram_hashes(codes, window)
+    return np.union1d(at, np.flatnonzero(np.isin(g, g[several])))
+
 
+def _cut(window: int, carry: bool):
+    names = [*(["row"] if carry else []), "doc_id", "kept_text", "n_words", "n_removed", *(["text"] if carry else [])]
 
-def _cut(window: int, schema: pa.Schema, carry: bool):
     def run(batches):
         for batch in batches:
             for part in wh.slices(batch):
                 kept, n_words, n_removed = [], [], []
-                for text, runs in zip(part.column("text").to_pylist(), part.column("runs").to_pylist(), strict=True):
+                for text, tag, runs in zip(*(part.column(c).to_pylist() for c in ("text", "tag", "runs")), strict=True):
                     words = (text or "").encode().split()
-                    gone = 0
+                    out, gone = words, 0
                     if runs:
+                        runs = np.array(runs)
+                        mine = runs[(runs >> _TAG_SHIFT) == tag] & ((1 << _TAG_SHIFT) - 1)
+                        at = (mine >> 1) - 1
+                        if (mine & 1).any():
+                            at = _with_repeats(words, at, at[(mine & 1) == 1], window)
                         delta = np.zeros(len(words) + 1, np.int64)
-                        if -1 in runs:
+                        if (at < 0).any():
                             delta[0], delta[-1] = 1, -1
                         else:
-                            at = np.array(runs)
-                            at = at[at + window <= len(words)]
                             delta[at] += 1
                             delta[at + window] -= 1
                         hit = np.cumsum(delta[:-1]) > 0
                         gone = int(hit.sum())
-                        out = b" ".join(words[i] for i in np.flatnonzero(~hit))
-                    else:
-                        out = b" ".join(words)
-                    kept.append(out.decode())
+                        out = [words[i] for i in np.flatnonzero(~hit)]
+                    kept.append(b" ".join(out).decode())
                     n_words.append(len(words))
                     n_removed.append(gone)
                 cols = [part.column("doc_id"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*cols, *([part.column("row")] if carry else [])], names=schema.names if schema else ["doc_id", "kept_text", "n_words", "n_removed", *(["row"] if carry else [])])
+                yield pa.RecordBatch.from_arrays([part.column("row"), *cols, part.column("text")] if carry else cols, names=names)
 
     return run
 
@@ -211,22 +244,27 @@ def _cut(window: int, schema: pa.Schema, carry: bool):
 def substring_dedup(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS, carry: bool = False) -> DataFrame:
     """One row per document: doc_id, kept_text (words joined by a space), n_words, n_removed.
 
-    ``carry`` adds the struct ``row`` with the input's other columns, whatever
-    their names. See the module text for the method and the defined cases.
+    ``carry`` adds the text and the struct ``row`` with the input's other columns,
+    whatever their names. See the module text for the method and the defined cases. Texts
+    are dealt by id once; both joins read that exchange.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # an alias would keep Spark from seeing that both uses of the exchange are the same
     base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("tag"),
-        F.col("text").cast("string").alias("text"),
+        F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id"),
+        F.crc32(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 31) - 1)).alias("tag"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         *([F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(True).alias("__row")).alias("row")] if carry else []),
-    ).repartition("doc_id")
-    runs = matching_runs(base.select("doc_id", "tag", "text"), window, seed_words)
-    joined = base.join(runs, ["doc_id", "tag"], "left")
+    )
+    named = base.filter("doc_id IS NOT NULL")
+    dealt = named.repartition("doc_id")
+    runs = matching_runs(named, dealt, window, seed_words)
+    joined = dealt.join(runs, "doc_id", "left")
+    joined = joined.unionByName(base.filter("doc_id IS NULL"), allowMissingColumns=True)
     out = "doc_id long, kept_text string, n_words long, n_removed long"
     if carry:
-        out += f", row {base.schema['row'].dataType.simpleString()}"
-    return joined.select("doc_id", "text", "runs", *(["row"] if carry else [])).mapInArrow(_cut(window, None, carry), out)
+        out = wh.schema_with(base.schema["row"], out + ", text string")
+    return joined.select("doc_id", "tag", "text", "runs", *(["row"] if carry else [])).mapInArrow(_cut(window, carry), out)
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:

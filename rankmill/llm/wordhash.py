@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql.types import StructField, StructType
 
 SLICE_BYTES = 4 << 20
 
@@ -39,6 +40,11 @@ def _power_table(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def schema_with(field: StructField, ddl: str) -> StructType:
+    """``field`` (whatever the names inside it), then the columns of ``ddl``."""
+    return StructType([StructField(field.name, field.dataType, True), *StructType.fromDDL(ddl).fields])
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: a bijection that spreads every input bit."""
     h = h ^ (h >> _U(30))
