@@ -1,8 +1,15 @@
 """Corpus pipeline: toxicity, near duplicates, repeated passages, benchmark leaks, tokens.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
-writes each result as Parquet under the shared checkpoint folder and reads it
-again as the next stage's input.
+writes each result as Parquet below the shared checkpoint folder and reads it
+again as the next stage's input. All stages but the last return the columns of
+their input, whatever they are; doc_id, text and, where present, n_chars are the
+only ones that a stage reads or changes.
+
+Defined cases: rows with null ids are scored, tokenised and tested against the
+benchmark like others, and are no near duplicates or repeats of anything; rows
+that repeat an id with one text are one document from stage 2 on. An empty table
+passes through.
 """
 
 from __future__ import annotations
@@ -12,21 +19,68 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankmill.llm import toxicity
+from rankmill.llm.bpe import encode_decode
+from rankmill.llm.decontaminate import decontaminate
+from rankmill.llm.ngram_join import jaccard_components
 from rankmill.llm.substring_dedup import substring_dedup
 from rankmill.session import checkpoint_dir
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 1 (operator 7): documents that the grammar scores as toxic go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    grammar = toxicity.train(docs, labels, F.lit(True))
+    scored = toxicity.score_documents(docs, grammar)
+    return scored.filter(F.col("toxicity.score") < toxicity.THRESHOLD).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2 (operator 1): of documents linked by five-word shingles the one with the smallest id stays."""
+    groups = jaccard_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT)
+    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id IS NULL")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
-def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 3: passages that an earlier document has are cut out of the text; emptied documents go."""
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 3 (operator 4): passages of 13 words or more that an earlier document has are cut; emptied documents go."""
     cut = substring_dedup(docs, carry=True).filter("kept_text != '' OR n_words = 0")
-    return cut.select(
-        *[(F.col("doc_id") if c == "doc_id" else F.col("kept_text").alias("text") if c == "text" else F.col("row")[c].alias(c)) for c in docs.columns]
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    out = {"doc_id": F.col("doc_id"), "text": text}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[out.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4 (operator 10): documents that hold a benchmark item go."""
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.filter(F.size("contamination.items") == 0).select("row.*")
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5 (operator 2): token ids of every text, and the hash of what they decode to."""
+    coded = encode_decode(docs)
+    return coded.select(
+        "row.doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
-STAGES = [("substring_dedup", drop_repeats)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_leaks),
+    ("bpe", tokenize),
+]
 
-#: SQL cannot express the learned toxicity stage.
+#: SQL cannot express the learned toxicity stage and the tokenizer.
 ORACLE_SQL = None
 
 

@@ -169,7 +169,6 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, piece_char
     """One row per document: ``row`` (all its columns), ``ids`` (little-endian 32-bit integers) and ``decoded``."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer_path))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
-    row_type = rows.schema["row"].dataType.simpleString()
 
     def short(batches):
         memo = Memo(load(shared.value))
@@ -182,7 +181,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, piece_char
         for batch in batches:
             for i, text in enumerate(batch.column("__text").to_pylist()):
                 for no, (a, b) in enumerate(halves(len(text), piece_chars)):
-                    yield pa.RecordBatch.from_arrays([batch.column("__id").slice(i, 1), pa.array([no], pa.int32()), pa.array([a], pa.int64()), pa.array([text[a:b]], pa.string())], ["__id", "no", "lo", "piece"])
+                    row = batch.column("row").slice(i, 1) if no == 0 else pa.nulls(1, batch.column("row").type)
+                    yield pa.RecordBatch.from_arrays([row, batch.column("__id").slice(i, 1), pa.array([no], pa.int32()), pa.array([a], pa.int64()), pa.array([text[a:b]], pa.string())], ["row", "__id", "no", "lo", "piece"])
 
     def encode(batches):
         tokenizer = load(shared.value)
@@ -190,23 +190,28 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, piece_char
             for i in range(batch.num_rows):
                 side = Side.of(tokenizer, batch.column("piece")[i].as_py(), batch.column("lo")[i].as_py())
                 tokens = np.stack([side.ids, side.starts, side.ends]).astype("<i8").tobytes()
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in ("__id", "no", "lo", "piece")), pa.array([tokens], pa.binary())], ["__id", "no", "lo", "piece", "tokens"])
+                same = ["row", "__id", "no", "lo", "piece"]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in same), pa.array([tokens], pa.binary())], [*same, "tokens"])
 
     def join(table: pa.Table) -> pa.Table:
         tokenizer = load(shared.value)
-        parts = sorted(table.to_pylist(), key=lambda r: r["no"])
+        table = table.sort_by("no")
+        parts = table.select(["lo", "piece", "tokens"]).to_pylist()
         text = "".join(r["piece"] for r in parts)
         sides = [Side(*np.frombuffer(r["tokens"], "<i8").reshape(3, -1), r["lo"], r["lo"] + len(r["piece"])) for r in parts]
         ids = concatenate_tree(tokenizer, text, sides).ids
         decoded = tokenizer.decode(ids.tolist(), skip_special_tokens=False)
-        return pa.table({"__id": [parts[0]["__id"]], "ids": pa.array([ids.astype("<u4").tobytes()], pa.binary()), "decoded": pa.array([decoded], pa.string())})
-
-    long = rows.withColumn("__id", F.monotonically_increasing_id()).filter(F.length("__text") > piece_chars)
-    pieces = long.select("__id", "__text").mapInArrow(cut, "__id long, no int, lo long, piece string")
-    encoded = pieces.repartition("__id", "no").mapInArrow(encode, "__id long, no int, lo long, piece string, tokens binary")
-    joined = encoded.groupBy("__id").applyInArrow(join, f"__id long, {_OUT}")
-    short_rows = rows.filter(F.length("__text") <= piece_chars).mapInArrow(short, f"row {row_type}, {_OUT}")
-    return short_rows.unionByName(long.select("__id", "row").join(joined, "__id").select("row", "ids", "decoded"))
+        return pa.table({"row": table.column("row").slice(0, 1), "ids": pa.array([ids.astype("<u4").tobytes()], pa.binary()), "decoded": pa.array([decoded], pa.string())})
+
+    # a long text's row travels with its first piece; __id only tells texts apart
+    field = rows.schema["row"]
+    piece_type = wh.schema_with(field, "__id long, no int, lo long, piece string")
+    long = rows.filter(F.length("__text") > piece_chars).withColumn("__id", F.monotonically_increasing_id())
+    pieces = long.mapInArrow(cut, piece_type)
+    encoded = pieces.repartition("__id", "no").mapInArrow(encode, wh.schema_with(field, "__id long, no int, lo long, piece string, tokens binary"))
+    joined = encoded.groupBy("__id").applyInArrow(join, wh.schema_with(field, _OUT))
+    short_rows = rows.filter(F.length("__text") <= piece_chars).mapInArrow(short, wh.schema_with(field, _OUT))
+    return short_rows.unionByName(joined)
 
 
 def op2_bpe(spark, sf_dir: str) -> DataFrame:

@@ -169,7 +169,7 @@ def _broadcast_path(rows: DataFrame, bench: list, k: int, coverage: float) -> Da
                     found.setdefault(r, []).append((ids[i], share))
                 yield pa.RecordBatch.from_arrays([part.column("row"), _found_column(part.num_rows, found)], ["row", "contamination"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, {_FOUND}")
+    return rows.mapInArrow(run, wh.schema_with(rows.schema["row"], _FOUND))
 
 
 def _seed_rows(name: str, lengths: list[int], k: int | None):
@@ -188,17 +188,17 @@ def _seed_rows(name: str, lengths: list[int], k: int | None):
                     order = np.lexsort((row, g))
                     g, row = g[order], row[order]
                     new = wh.group_starts(g, row) if len(g) else np.zeros(0, bool)
-                    yield pa.RecordBatch.from_arrays([pa.array(wh.signed(g[new])), pa.array(np.full(new.sum(), n)), pa.array(key[row[new]])], ["seed", "n", name])
+                    yield pa.RecordBatch.from_arrays([pa.array(wh.signed(g[new])), pa.array(np.full(new.sum(), n)), pa.array(key[row[new]], pa.string())], ["seed", "n", name])
 
     return run
 
 
 def _shuffle_path(rows: DataFrame, items: DataFrame, k: int, coverage: float) -> DataFrame:
     lengths = list(range(1, k + 1))
-    items = items.withColumn("__item", F.xxhash64("item_id", "__text"))
-    rows = rows.withColumn("__doc", F.xxhash64(F.coalesce("row.doc_id", F.lit(-1)), F.coalesce("__text", F.lit(""))))
-    of_items = items.select("__item", "__text").mapInArrow(_seed_rows("__item", lengths, k), "seed long, n long, __item long")
-    of_docs = rows.select("__doc", "__text").mapInArrow(_seed_rows("__doc", lengths, None), "seed long, n long, __doc long")
+    items = items.withColumn("__item", F.md5(F.concat_ws("|", F.col("item_id").cast("string"), "__text")))
+    rows = rows.withColumn("__doc", F.md5(F.concat(F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")), F.lit("|"), F.coalesce("__text", F.lit("")))))
+    of_items = items.select("__item", "__text").mapInArrow(_seed_rows("__item", lengths, k), "seed long, n long, __item string")
+    of_docs = rows.select("__doc", "__text").mapInArrow(_seed_rows("__doc", lengths, None), "seed long, n long, __doc string")
     pairs = of_docs.join(of_items, ["seed", "n"]).select("__doc", "__item").distinct()
     pairs = pairs.join(items.select("__item", "item_id", F.col("__text").alias("__item_text")), "__item")
     pairs = pairs.join(rows.select("__doc", "__text").dropDuplicates(["__doc"]), "__doc")
@@ -214,7 +214,7 @@ def _shuffle_path(rows: DataFrame, items: DataFrame, k: int, coverage: float) ->
                 at = [g[0] for g in got]
                 yield pa.RecordBatch.from_arrays([part.column("__doc").take(pa.array(at, pa.int64())), part.column("item_id").take(pa.array(at, pa.int64())), pa.array([g[2] for g in got], pa.float64())], ["__doc", "item_id", "share"])
 
-    tiled = pairs.select("__doc", "item_id", "__text", "__item_text").mapInArrow(run, "__doc long, item_id long, share double")
+    tiled = pairs.select("__doc", "item_id", "__text", "__item_text").mapInArrow(run, "__doc string, item_id long, share double")
     found = tiled.groupBy("__doc").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("share").alias("coverage"))
     joined = rows.join(found, "__doc", "left")
     return joined.select("row", F.struct(F.coalesce("items", F.expr("array()").cast("array<bigint>")).alias("items"), F.coalesce("coverage", F.lit(0.0)).alias("coverage")).alias("contamination"))

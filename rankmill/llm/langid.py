@@ -241,7 +241,7 @@ def identify(docs: DataFrame, field: Field | None) -> DataFrame:
                 out = pa.StructArray.from_arrays([langs, pa.array(score), pa.array(list(share), pa.list_(pa.float64()))], ["lang", "score", "shares"])
                 yield pa.RecordBatch.from_arrays([part.column("row"), out], ["row", "language"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, language {shape}")
+    return rows.mapInArrow(run, wh.schema_with(rows.schema["row"], f"language {shape}"))
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

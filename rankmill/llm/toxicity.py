@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankmill.llm import wordhash as wh
+
 MAX_TRAIN_ROWS = 16_000
 MIN_SUPPORT = 5
 MIN_LOG_ODDS = 3.0
@@ -196,7 +198,7 @@ def score_documents(docs: DataFrame, grammar: Grammar) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("row"), out], ["row", "toxicity"])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("__text"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, toxicity struct<score:double,n_clauses:bigint>")
+    return rows.mapInArrow(run, wh.schema_with(rows.schema["row"], "toxicity struct<score:double,n_clauses:bigint>"))
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
