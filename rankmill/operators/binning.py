@@ -30,13 +30,13 @@ def bucket_expr(column: str, edges: list[float]):
     return F.when(F.col(column).isNotNull(), F.greatest(F.lit(1), below))
 
 
-def quantile_bucket_rates(df: DataFrame, column: str, target: str, q: int = 4) -> DataFrame | None:
+def quantile_bucket_rates(df: DataFrame, column: str, target: str, q: int = 4) -> DataFrame:
     """Mean and count of ``target`` per quantile bucket of ``column`` over the
-    non-null values (B1 + B2); None when fewer than two distinct edges."""
+    non-null values (B1 + B2); no rows when fewer than two distinct edges."""
     base = df.where(F.col(column).isNotNull())
     edges = quantile_edges(base, column, q)
     if len(edges) < 2:
-        return None
+        return df.sparkSession.createDataFrame([], "bucket int, lower double, upper double, mean double, count long")
     arr = F.array(*[F.lit(float(e)) for e in edges])
     out = rate_by(base, ("bucket", bucket_expr(column, edges)), target)
     return out.select(
@@ -83,10 +83,10 @@ def histogram(df: DataFrame, column, bins: int, name: str = "value") -> DataFram
     )
 
 
-def log_histogram(df: DataFrame, column: str, bins: int) -> DataFrame | None:
-    """Histogram of log1p values, only when some value is positive."""
+def log_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """Histogram of log1p values; no rows unless some value is positive."""
     if not df.where(F.col(column) > 0).limit(1).count():
-        return None
+        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, count long")
     return histogram(df.where(F.col(column).isNotNull()), F.log1p(F.col(column)), bins, "log1p_value")
 
 
@@ -179,11 +179,13 @@ def hexbin_counts(df: DataFrame, x, y, gridsize: int = 50) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | None = None) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows chosen by a seeded hash order.
+    """Exactly ``min(n, rows)`` rows chosen by a seeded hash order (O8, B10): the
+    MD5 of seed and key columns as text, so any engine draws the same sample.
 
     ``orderBy(hash).limit(n)`` runs as a per-partition top-n followed by one
     merge of at most n rows per partition, so the sample is bounded by n.
     """
     cols = key_cols or df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-    return df.withColumn("_h", h).orderBy("_h", *cols).limit(n).drop("_h")
+    text = F.concat_ws("|", F.lit(str(int(seed))), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    rest = [c for c in df.columns if c not in cols]
+    return df.withColumn("_h", F.md5(text)).orderBy("_h", *cols, *rest).limit(n).drop("_h")

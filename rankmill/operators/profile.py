@@ -37,34 +37,34 @@ def missing_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def missing_share(df: DataFrame, column: str) -> DataFrame:
     """Percentage of nulls in one column."""
-    return df.agg(((F.count(F.lit(1)) - F.count(column)) * F.lit(100.0) / F.count(F.lit(1))).alias("missing_percentage"))
+    return df.agg(F.try_divide((F.count(F.lit(1)) - F.count(column)) * F.lit(100.0), F.count(F.lit(1))).alias("missing_percentage"))
 
 
 def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct non-null values per column.
 
-    Exact: every row is unpivoted to (column, value text) pairs with ``stack``;
-    duplicates collapse in each map task, then the distinct pairs are counted
-    per column (two small shuffles, no per-column expansion of wide rows).
-    Doubles are normalised first so that 0.0 and -0.0 count once.
+    Exact: columns are grouped by type family (whole numbers, reals, instants,
+    text) and every row is unpivoted to typed (column, value) pairs with
+    ``stack``; duplicates collapse in each map task, then the distinct pairs are
+    counted per column. No number or instant becomes text, and 0.0 and -0.0
+    count once.
     ``approx`` uses HyperLogLog++ sketches instead.
     """
     cols = cols or df.columns
     if approx:
         one = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
         return one.select(stack_rows([[F.lit(c), F.col(c).cast("long")] for c in cols], ["column_name", "distinct_values"]))
-    types = dict(df.dtypes)
-
-    def text(c):
-        v = F.col(c)
-        if types[c] in ("double", "float"):
-            v = F.when(v == 0, F.lit(0.0)).otherwise(v)
-        return v.cast("string")
-
-    long = df.select(stack_rows([[F.lit(c), text(c)] for c in cols], ["column_name", "v"])).where(F.col("v").isNotNull())
-    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n")).groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("distinct_values")
-    )
+    families: dict[str, list] = {}
+    for c, t in df.dtypes:
+        if c in cols:
+            kind = "long" if t in ("tinyint", "smallint", "int", "bigint", "boolean") else "double" if t in ("double", "float") else t if t in ("timestamp", "timestamp_ntz", "date") else "string"
+            v = F.col(c).cast(kind)
+            families.setdefault(kind, []).append([F.lit(c), F.when(v == 0, F.lit(0.0)).otherwise(v) if kind == "double" else v])
+    counts = None
+    for entries in families.values():
+        long = df.select(stack_rows(entries, ["column_name", "v"])).where(F.col("v").isNotNull())
+        part = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n")).groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+        counts = part if counts is None else counts.unionByName(part)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
     return names.join(counts, "column_name", "left").select("column_name", F.coalesce("distinct_values", F.lit(0)).cast("long").alias("distinct_values"))
 

@@ -1,125 +1,92 @@
 """Exact quantiles that never gather a column into one task.
 
 ``percentile`` would merge every distinct value of a column in one task. Here
-the k-th smallest value is found by bracketing: an approximate quantile sketch
-(mergeable, fixed size) gives bounds around rank k, one counting pass checks
-the bounds and narrows the candidate set, and the loop repeats until at most
-``final_rows`` candidates remain; these are ranked by a bounded window.
-Each pass is one or two Spark jobs over the pruned column, and the number of
-passes grows with log(rows) / log(accuracy).
+all wanted order statistics are bracketed together: each pass takes an
+approximate quantile sketch (mergeable, fixed size) of every value region that
+still holds a wanted rank, and counts the rows below and at the sketch's values,
+which are values of the column. A rank that falls on such a value is found; the
+others go on strictly between two of them. A region loses its pivots in every
+pass, so the loop ends for any values (ties, neighbouring doubles, infinities),
+and shrinks by a factor of about ``ACCURACY / 6``, so a pass is added only when
+the rows grow that much. A pass is two jobs, whatever the number of quantiles.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10000
-FINAL_ROWS = 4096
+# A key's values are split into this many ranges for running counts.
+RANGES = 64
 
 
-def _kth(values: DataFrame, k: int, n: int, accuracy: int, final_rows: int) -> float:
-    """k-th smallest (0-based) of the single double column ``v``; n = count."""
-    below = 0
-    cand = values
-    cnt = n
-    while cnt > final_rows:
-        p = (k - below + 0.5) / cnt
+def _inside(lo: float | None, hi: float | None) -> Column:
+    above = F.lit(True) if lo is None else F.col("v") > F.lit(lo)
+    return above if hi is None else above & (F.col("v") < F.lit(hi))
+
+
+def order_statistics(values: DataFrame, ks, n: int, accuracy: int = ACCURACY) -> dict[int, float]:
+    """k-th smallest (0-based) value of the double column ``v`` for every k; n = number of rows."""
+    found: dict[int, float] = {}
+    # wanted rank -> (exclusive bounds, rows before the region, rows in it)
+    wanted = {int(k): (None, None, 0, n) for k in ks}
+    while wanted:
+        regions = sorted(set(wanted.values()), key=lambda r: r[2])
         d = 3.0 / accuracy
-        lo_p, hi_p = max(0.0, p - d), min(1.0, p + d)
-        a, b = cand.agg(F.percentile_approx("v", [lo_p, hi_p], accuracy).alias("q")).first()["q"]
-        stats = cand.agg(
-            F.count(F.when(F.col("v") < a, 1)).alias("lt"),
-            F.count(F.when((F.col("v") >= a) & (F.col("v") <= b), 1)).alias("inb"),
-        ).first()
-        lt, inb = stats["lt"], stats["inb"]
-        if not (below + lt <= k < below + lt + inb):
-            # the sketch missed (heavy ties at the edges): keep the side that holds k
-            if k < below + lt:
-                cand, cnt = cand.where(F.col("v") < a), lt
+        own = {k: [min(1.0, max(0.0, (k - start + 0.5) / size + e)) for e in (-d, 0.0, d)] for k, (_, _, start, size) in wanted.items()}
+        probs = sorted({p for ps in own.values() for p in ps})
+        region = F.coalesce(*[F.when(_inside(lo, hi), F.lit(i)) for i, (lo, hi, _, _) in enumerate(regions)])
+        parts = values.select("v", region.alias("region")).where(F.col("region").isNotNull())
+        sketch = {r["region"]: r["q"] for r in parts.groupBy("region").agg(F.percentile_approx("v", probs, accuracy).alias("q")).collect()}
+        pivots = [sorted({sketch[i][probs.index(p)] for k, r in wanted.items() if r == reg for p in own[k]}) for i, reg in enumerate(regions)]
+        aggs = []
+        for i, (lo, _, _, _) in enumerate(regions):
+            for j, p in enumerate(pivots[i]):
+                aggs.append(F.count(F.when(_inside(lo, p), 1)).alias(f"lt_{i}_{j}"))
+                aggs.append(F.count(F.when(F.col("v") == F.lit(p), 1)).alias(f"eq_{i}_{j}"))
+        counts = values.agg(*aggs).first()
+        for k, reg in list(wanted.items()):
+            i = regions.index(reg)
+            lo, hi, start, size = reg
+            done = 0  # rows of the region up to and with the last pivot below k
+            for j, p in enumerate(pivots[i]):
+                lt, eq = counts[f"lt_{i}_{j}"], counts[f"eq_{i}_{j}"]
+                if k - start < lt:
+                    hi, size = p, lt - done
+                    break
+                if k - start < lt + eq:
+                    found[k] = p
+                    break
+                lo, done = p, lt + eq
             else:
-                below += lt + inb
-                cand, cnt = cand.where(F.col("v") > b), cnt - lt - inb
-            continue
-        if inb >= cnt:  # the sketch cannot narrow (ties): split by value instead
-            if a == b:
-                return a
-            m = a + (b - a) / 2.0
-            le = cand.where(F.col("v") <= m).count()
-            if k < below + le:
-                cand, cnt = cand.where(F.col("v") <= m), le
+                size -= done
+            if k in found:
+                del wanted[k]
             else:
-                below += le
-                cand, cnt = cand.where(F.col("v") > m), cnt - le
-            continue
-        below += lt
-        cand, cnt = cand.where((F.col("v") >= a) & (F.col("v") <= b)), inb
-    target = k - below + 1
-    w = Window.orderBy("v")  # at most ``final_rows`` rows reach this window
-    row = cand.select("v", F.row_number().over(w).alias("_r")).where(F.col("_r") == target).first()
-    return row["v"]
-
-
-def _kth_many(values: DataFrame, ks: list[int], n: int, accuracy: int, final_rows: int) -> dict[int, float]:
-    """Several order statistics with shared passes: one sketch job and one
-    counting job bracket every k; brackets small enough are ranked together
-    in one job; the rest (very large inputs) continue with ``_kth``."""
-    d = 3.0 / accuracy
-    probs = []
-    for k in ks:
-        p = (k + 0.5) / n
-        probs += [max(0.0, p - d), min(1.0, p + d)]
-    qs = values.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()["q"]
-    br = {k: (qs[2 * i], qs[2 * i + 1]) for i, k in enumerate(ks)}
-    aggs = []
-    for i, k in enumerate(ks):
-        a, b = br[k]
-        aggs += [F.count(F.when(F.col("v") < a, 1)).alias(f"lt{i}"), F.count(F.when((F.col("v") >= a) & (F.col("v") <= b), 1)).alias(f"in{i}")]
-    cnt = values.agg(*aggs).first()
-    out: dict[int, float] = {}
-    small = []
-    for i, k in enumerate(ks):
-        lt, inb = cnt[f"lt{i}"], cnt[f"in{i}"]
-        if lt <= k < lt + inb and inb <= final_rows:
-            small.append((i, k, lt))
-        else:
-            out[k] = _kth(values, k, n, accuracy, final_rows)
-    if small:
-        parts = None
-        for i, k, lt in small:
-            a, b = br[k]
-            part = values.where((F.col("v") >= a) & (F.col("v") <= b)).select(F.lit(i).alias("i"), "v")
-            parts = part if parts is None else parts.unionByName(part)
-        targets = {i: k - lt + 1 for i, k, lt in small}
-        # at most len(small) * final_rows rows reach this window
-        ranked = parts.withColumn("_r", F.row_number().over(Window.partitionBy("i").orderBy("v")))
-        cond = None
-        for i, t in targets.items():
-            c = (F.col("i") == i) & (F.col("_r") == t)
-            cond = c if cond is None else cond | c
-        got = {r["i"]: r["v"] for r in ranked.where(cond).collect()}
-        for i, k, _ in small:
-            out[k] = got[i]
-    return out
+                wanted[k] = (lo, hi, start + done, size)
+    return found
 
 
-def exact_quantiles(df: DataFrame, column: str, probs, accuracy: int = ACCURACY, final_rows: int = FINAL_ROWS) -> list:
+def exact_quantiles(df: DataFrame, column: str, probs, accuracy: int = ACCURACY) -> list:
     """Linear-interpolation quantiles (the SQL ``quantile_cont`` rule) of the
-    non-null values of ``column``; None for an empty column."""
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = values.count()
-    if n == 0:
-        return [None for _ in probs]
-    pos = [(n - 1) * float(p) for p in probs]
-    ks = sorted({k for x in pos for k in (math.floor(x), math.ceil(x))})
-    vals = _kth_many(values, ks, n, accuracy, final_rows)
+    non-null values of ``column``; None for an empty column. The pruned column
+    is kept (memory, then disk) while the passes run."""
+    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")).persist()
+    try:
+        n = values.count()
+        if n == 0:
+            return [None for _ in probs]
+        pos = [(n - 1) * float(p) for p in probs]
+        vals = order_statistics(values, {k for x in pos for k in (math.floor(x), math.ceil(x))}, n, accuracy)
+    finally:
+        values.unpersist()
     out = []
     for x in pos:
-        lo, hi = math.floor(x), math.ceil(x)
-        vlo, vhi = vals[lo], vals[hi]
-        out.append(vlo + (vhi - vlo) * (x - lo))
+        vlo, vhi = vals[math.floor(x)], vals[math.ceil(x)]
+        out.append(vlo if vlo == vhi else vlo + (vhi - vlo) * (x - math.floor(x)))
     return out
 
 
@@ -127,17 +94,34 @@ def exact_quantile(df: DataFrame, column: str, p: float, **kw) -> float | None:
     return exact_quantiles(df, column, [p], **kw)[0]
 
 
+def running_counts(hist: DataFrame, keys: list[str], value: str, count: str = "n") -> DataFrame:
+    """``hist`` with ``cum`` (rows of the key up to and with this value) and ``tot`` (rows of the key).
+
+    ``hist`` has one row per (keys, value). A key's values are split at fixed
+    fractions of all values, so that one hot key is walked by many tasks; the
+    ranges' totals (at most ``RANGES`` per key) give the counts before a range.
+    """
+    cuts = hist.select(F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], 1000)).scalar()
+    hist = hist.withColumn("_cuts", cuts).withColumn("_range", F.expr(f"size(filter(_cuts, c -> c < `{value}`))")).drop("_cuts")
+    inner = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_in", F.sum(count).over(inner))
+    totals = hist.groupBy(*keys, "_range").agg(F.sum(count).alias("_n"))
+    outer = Window.partitionBy(*keys)
+    upto = outer.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = totals.select(*keys, "_range", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(outer).alias("tot"))
+    out = hist.join(totals, [*keys, "_range"])
+    return out.withColumn("cum", F.col("_in") + F.col("_before")).drop("_range", "_in", "_before")
+
+
 def key_quantiles(df: DataFrame, key: str, column: str, probs, names) -> DataFrame:
-    """Exact per-key quantiles from a (key, value) histogram: the window walks
-    distinct values, not rows."""
+    """Exact per-key quantiles from a (key, value) histogram: the running counts
+    walk distinct values, not rows, and split a hot key by value range."""
     hist = (
         df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
         .groupBy(key, F.col(column).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    part = Window.partitionBy(key)
-    run = part.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumns({"cum": F.sum("n").over(run), "tot": F.sum("n").over(part)})
+    hist = running_counts(hist, [key], "v")
     start = F.col("cum") - F.col("n")
     aggs = []
     keep = None

@@ -3,7 +3,8 @@
 The test keys are the ``n`` keys with the smallest seeded hash. The n-th
 smallest hash is found with the bracketing order statistic (no global sort,
 no key list on the driver); each row then decides its side by comparing its
-own key hash with that threshold — a filter, not a join.
+own key hash with that threshold — a filter, not a join. The hash is the start
+of an MD5 over seed and key as text, so any engine draws the same split.
 """
 
 from __future__ import annotations
@@ -13,14 +14,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankmill.operators.quantiles import ACCURACY, FINAL_ROWS, _kth
+from rankmill.operators.quantiles import order_statistics
 from rankmill.schema import GROUP_COL
 
-_MASK = (1 << 53) - 1  # hash values kept exactly representable as doubles
+_HEX = 13  # hex digits of the hash: 52 bits, exact as a double
 
 
 def _key_hash(group: str, seed: int):
-    return F.pmod(F.xxhash64(F.lit(int(seed)), F.col(group)), F.lit(_MASK + 1)).cast("double")
+    text = F.concat(F.lit(f"{int(seed)}:"), F.col(group).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, _HEX), 16, 10).cast("double")
 
 
 def split_by_group(
@@ -41,11 +43,12 @@ def split_by_group(
         return df, df.limit(0)
     if n_test >= n_keys:
         return df.limit(0), df
-    vals = keys.select(h.alias("v"), group)
-    t = _kth(vals.select("v"), n_test - 1, n_keys, ACCURACY, FINAL_ROWS)
+    vals = keys.select(h.alias("v"), group).persist()
+    t = order_statistics(vals.select("v"), [n_test - 1], n_keys)[n_test - 1]
     below = vals.where(F.col("v") < F.lit(t)).count()
     # keys sharing the threshold hash (practically none): take the smallest keys
     ties = [r[group] for r in vals.where(F.col("v") == F.lit(t)).orderBy(group).limit(n_test - below).collect()]
+    vals.unpersist()
     in_test = (h < F.lit(t)) | ((h == F.lit(t)) & F.col(group).isin(ties))
     return df.where(~in_test | F.col(group).isNull()), df.where(in_test)
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankmill.functions.columns import stack_rows
 from rankmill.operators.quantiles import exact_quantile
 
 
@@ -83,7 +85,7 @@ def above_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     return df.agg(
         F.lit(q).cast("double").alias("threshold"),
         F.count(F.when(F.col(column) > F.lit(q), 1)).alias("count_above"),
-        (F.count(F.when(F.col(column) > F.lit(q), 1)) * F.lit(100.0) / F.count(F.lit(1))).alias("percent_above"),
+        F.try_divide(F.count(F.when(F.col(column) > F.lit(q), 1)) * F.lit(100.0), F.count(F.lit(1))).alias("percent_above"),
     )
 
 
@@ -106,65 +108,90 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(pearson(a, b).alias("correlation"))
 
 
-def _pair_correlations(df: DataFrame, pairs: list[tuple[str, Column, Column]]) -> DataFrame:
-    """(name, correlation) for many column pairs in one pass.
+def pair_correlations(df: DataFrame, cols: dict[str, Column], pairs: list[tuple[str, str]]) -> list[float | None]:
+    """Pearson correlation of each pair over the rows where both sides are present.
 
-    Each row is unpivoted into one (pair, a, b) entry per pair with both sides
-    present, and the moments are aggregated per pair: three aggregate
-    functions in total, computed partially in every map task, instead of a
-    projection with three aggregates per pair.
+    One pass over a vector of (present, centred value, square) per column: its
+    Gram matrix, summed in the JVM and partially per task, holds the counts,
+    sums, squares and products of every pair. Only that matrix of
+    (3 columns)^2 numbers reaches the driver. Centring by the column means (a
+    first, small pass) keeps the sums precise.
     """
-    gen = stack_rows([[F.lit(i), a.cast("double"), b.cast("double")] for i, (_, a, b) in enumerate(pairs)], ["k", "a", "b"])
-    long = df.select(gen).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    agg = long.groupBy("k").agg(
-        F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("correlation")
-    )
-    names = df.sparkSession.createDataFrame([(i, n) for i, (n, _, _) in enumerate(pairs)], "k int, name string")
-    # every pair appears, also when it has no complete rows
-    return names.join(agg, "k", "left").select("name", "correlation")
+    names = list(cols)
+    means = df.agg(*[F.avg(c.cast("double")).alias(f"m{i}") for i, c in enumerate(cols.values())]).first()
+    parts = []
+    for i, c in enumerate(cols.values()):
+        x = c.cast("double") - F.lit(float(means[f"m{i}"] or 0.0))
+        parts += [c.isNotNull().cast("double"), F.coalesce(x, F.lit(0.0)), F.coalesce(x * x, F.lit(0.0))]
+    vectors = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("v")), "v")
+    if not names or vectors.isEmpty():
+        return [None for _ in pairs]
+    g = RowMatrix(vectors).computeGramianMatrix().toArray()
+    out = []
+    for a, b in pairs:
+        i, j = 3 * names.index(a), 3 * names.index(b)
+        n, sx, sy = g[i, j], g[i + 1, j], g[i, j + 1]
+        sxx, syy, sxy = g[i + 2, j], g[i, j + 2], g[i + 1, j + 1]
+        vx, vy = (sxx - sx * sx / n, syy - sy * sy / n) if n >= 2 else (0.0, 0.0)
+        # a constant side has no variance beyond rounding
+        flat = n < 2 or vx <= 1e-12 * sxx or vy <= 1e-12 * syy
+        out.append(None if flat else float((sxy - sx * sy / n) / math.sqrt(vx * vy)))
+    return out
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col_a, col_b, correlation) for all pairs a < b in ``cols`` order."""
-    pairs = [(f"{cols[i]}\t{cols[j]}", F.col(cols[i]), F.col(cols[j])) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    out = _pair_correlations(df, pairs)
-    parts = F.split(F.col("name"), "\t")
-    return out.select(parts.getItem(0).alias("col_a"), parts.getItem(1).alias("col_b"), "correlation")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    got = pair_correlations(df, {c: F.col(c) for c in cols}, pairs)
+    return df.sparkSession.createDataFrame([(a, b, r) for (a, b), r in zip(pairs, got)], "col_a string, col_b string, correlation double")
 
 
 def correlation_with(df: DataFrame, target: str, cols: list[str], fill_zero: list[str] = ()) -> DataFrame:
     """Correlation of each column with ``target`` (G18), sorted descending,
     target itself removed; ``fill_zero`` columns have nulls replaced by 0."""
-    fz = set(fill_zero)
-    src = lambda c: F.coalesce(F.col(c), F.lit(0)) if c in fz else F.col(c)
-    pairs = [(c, src(c), F.col(target)) for c in cols if c != target]
-    out = _pair_correlations(df, pairs).withColumnRenamed("name", "feature")
+    zero = set(fill_zero)
+    src = {c: F.coalesce(F.col(c), F.lit(0)) if c in zero else F.col(c) for c in cols if c != target}
+    got = pair_correlations(df, {**src, target: F.col(target)}, [(c, target) for c in src])
+    out = df.sparkSession.createDataFrame(list(zip(src, got)), "feature string, correlation double")
     return out.orderBy(F.desc_nulls_last("correlation"), "feature")
 
 
+MAX_CATEGORIES = 1000
+
+
+def erfc_sql(z: str, terms: int = 60) -> str:
+    """SQL text (for any engine) of the complementary error function of the
+    column ``z`` >= 0: a power series below 3, a continued fraction above."""
+    number = "{:.17e}".format
+    series, fraction = number(1.0), z
+    for n in range(terms, 0, -1):
+        series = f"({number(1.0)} + {number(2 / (2 * n + 1))} * {z} * {z} * {series})"
+        fraction = f"({z} + {number(n / 2)} / {fraction})"
+    scale = f"exp(-{z} * {z}) * {number(1 / math.sqrt(math.pi))}"
+    return f"CASE WHEN {z} < 3 THEN {number(1.0)} - 2 * {z} * {scale} * {series} ELSE {scale} / {fraction} END"
+
+
 def chi2_2x2(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
     """Chi-squared test of independence on the a × b contingency table.
 
-    With one degree of freedom Yates' continuity correction is applied (as the
-    usual library routine does). The p-value for dof = 1 is erfc(sqrt(x/2)),
-    computed on the one-row result.
+    Cells without rows count as 0, so the table is all values of ``a`` times all
+    of ``b`` (at most ``MAX_CATEGORIES`` each; both lists are checked). With one
+    degree of freedom Yates' continuity correction is applied; the p-value of
+    one degree of freedom is erfc(sqrt(x / 2)), null otherwise.
     """
-    cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("o"))
-    all_ = Window.partitionBy()
-    # the contingency table has one row per (a, b) cell, so this window is tiny
-    e = cells.withColumns(
-        {
-            "row_tot": F.sum("o").over(Window.partitionBy(a)),
-            "col_tot": F.sum("o").over(Window.partitionBy(b)),
-            "tot": F.sum("o").over(all_),
-            "ra": F.size(F.collect_set(a).over(all_)),
-            "rb": F.size(F.collect_set(b).over(all_)),
-        }
-    ).withColumn("e", F.col("row_tot") * F.col("col_tot") / F.col("tot"))
-    dof = (F.col("ra") - 1) * (F.col("rb") - 1)
-    diff = F.abs(F.col("o") - F.col("e"))
+    both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    cells = both.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("o"))
+    rows, cols = cells.groupBy("a").agg(F.sum("o").alias("ra")), cells.groupBy("b").agg(F.sum("o").alias("cb"))
+    for side, name in ((rows, a), (cols, b)):
+        if len(side.limit(MAX_CATEGORIES + 1).collect()) > MAX_CATEGORIES:
+            raise ValueError(f"{name} has more than {MAX_CATEGORIES} values")
+    total = cells.select(F.sum("o")).scalar()
+    dof = (rows.select(F.count(F.lit(1))).scalar() - 1) * (cols.select(F.count(F.lit(1))).scalar() - 1)
+    # two checked, small lists of values
+    table = rows.crossJoin(F.broadcast(cols)).join(cells, ["a", "b"], "left").withColumn("o", F.coalesce("o", F.lit(0.0)))
+    e = F.col("ra") * F.col("cb") / total
+    diff = F.abs(F.col("o") - e)
     corr = F.when(dof == 1, F.least(F.lit(0.5 if correction else 0.0), diff)).otherwise(F.lit(0.0))
-    term = F.pow(F.greatest(diff - corr, F.lit(0.0)), 2) / F.col("e")
-    res = e.agg(F.sum(term).alias("chi2"), F.first(dof).alias("dof"))
-    erfc = F.udf(lambda x: None if x is None else math.erfc(math.sqrt(x / 2.0)), "double")
-    return res.withColumn("p_value", F.when(F.col("dof") == 1, erfc(F.col("chi2"))))
+    res = table.agg(F.sum(F.pow(F.greatest(diff - corr, F.lit(0.0)), 2) / e).alias("chi2")).withColumn("dof", dof.cast("int"))
+    res = res.withColumn("_z", F.sqrt(F.col("chi2") / 2.0))
+    return res.withColumn("p_value", F.when(F.col("dof") == 1, F.expr(erfc_sql("_z")))).drop("_z")
