@@ -45,7 +45,8 @@ def main() -> None:
             "spark.driver.extraJavaOptions": "-XX:ReservedCodeCacheSize=1g -XX:+UseParallelGC",
         },
     )
-    scratch = tempfile.mkdtemp(prefix="rankmill-bench-")
+    # a cluster passes a folder that all executors share; local runs get a scratch folder
+    scratch = sys.argv[1] if len(sys.argv) > 1 else tempfile.mkdtemp(prefix="rankmill-bench-")
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -76,7 +77,7 @@ def main() -> None:
     timed("distinct_counts", lambda: P.distinct_counts(raw).collect())
     timed("duplicates", lambda: P.duplicate_rows(raw).collect())
     timed("describe", lambda: P.describe(raw, ["price_usd", "prop_location_score2", "orig_destination_distance"]).collect())
-    num = [c for c in raw.columns if c not in ("date_time", "srch_id")][:24]
+    num = [c for c in raw.columns if c != "date_time"]
     timed("corr_matrix", lambda: ST.correlation_matrix(raw, num).collect())
     timed("quantile_bucket_rates", lambda: B.quantile_bucket_rates(raw, "prop_location_score2", "click_bool", 4).collect())
     timed("box_by_star", lambda: B.box_stats_by(raw, "prop_starrating", "price_usd").collect())

@@ -106,6 +106,11 @@ def fmt_number(c, decimals: int = 4, na: str = "N/A") -> Column:
     return F.when(col(c).isNotNull(), F.format_string(f"%.{decimals}f", col(c))).otherwise(F.lit(na))
 
 
+def differs(a, b) -> Column:
+    """Null-aware inequality (P7): a missing side counts as different."""
+    return F.coalesce(col(a) != col(b), F.lit(True))
+
+
 def percent_text(c, decimals: int = 2) -> Column:
     """Round and add a percent sign."""
     return F.concat(F.round(col(c), decimals).cast("string"), F.lit("%"))

@@ -22,9 +22,13 @@ Rows stay hash-partitioned by search through the whole loop, so ranking, the
 pair join and the per-row sums run without further shuffles. Lineage is cut
 with reliable ``checkpoint()`` (the cluster's ``spark.checkpoint.dir``).
 
-A fitted model scores new rows with one SQL expression per tree (nested
-``CASE WHEN`` on the raw columns), so scoring runs in whole-stage codegen with
-no vector assembly and no Python.
+Rows of a search are told apart by item and a hash of their features, never by
+the label, and score ties are ordered by item as in the NDCG operator, so the
+reported validation score is that of the scored validation rows.
+
+A fitted model scores from flat node arrays: one Arrow-batched function walks
+blocks of trees for a batch of rows at once, so neither the plan nor generated
+code grows with the number of trees or leaves.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ import math
 import time
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
@@ -41,7 +47,7 @@ from pyspark.sql import functions as F
 
 from rankmill.functions.columns import stack_rows
 from rankmill.operators.ranking import discount, gain, mean_ndcg
-from rankmill.schema import GROUP_COL, LABEL_COL
+from rankmill.schema import GROUP_COL, ITEM_COL, LABEL_COL
 from rankmill.session import checkpoint_dir
 
 # Spark trees do not route nulls: missing values go below every real value.
@@ -59,13 +65,20 @@ class Tree:
     root: dict
     features: list[str]
 
-    def expr(self) -> Column:
-        def build(n):
-            if "v" in n:
-                return F.lit(float(n["v"]))
-            return F.when(_feature_col(self.features[n["f"]]) <= F.lit(float(n["t"])), build(n["l"])).otherwise(build(n["r"]))
+    def nodes(self) -> list[tuple]:
+        """(feature or -1, threshold, left, right, value) of every node, the root first."""
+        out: list[list] = []
 
-        return build(self.root)
+        def add(n) -> int:
+            at = len(out)
+            out.append([-1, 0.0, at, at, float(n.get("v", 0.0))])
+            if "v" not in n:
+                out[at][:2] = [int(n["f"]), float(n["t"])]
+                out[at][2], out[at][3] = add(n["l"]), add(n["r"])
+            return at
+
+        add(self.root)
+        return [tuple(x) for x in out]
 
     def gains(self) -> dict[str, float]:
         out: dict[str, float] = {}
@@ -82,8 +95,49 @@ class Tree:
         return out
 
 
-def _read_tree(java_model, index_map: list[int]) -> dict:
-    """Walk the JVM tree once (it has at most 2^depth leaves)."""
+def forest_scorer(trees: list[Tree], rate: float, block: int = 32):
+    """Arrow-batched function: array of feature values -> rate times the sum of the trees' values."""
+    blocks = []
+    for lo in range(0, len(trees), block):
+        flat, roots = [], []
+        for t in trees[lo : lo + block]:
+            base = len(flat)
+            roots.append(base)
+            flat += [(f, x, left + base, right + base, v) for f, x, left, right, v in t.nodes()]
+        f, x, left, right, v = (np.array(c) for c in zip(*flat))
+        blocks.append((np.array(roots), f.astype(np.int64), x, left.astype(np.int64), right.astype(np.int64), v))
+
+    @F.pandas_udf("double")
+    def score(rows: pd.Series) -> pd.Series:
+        total = np.zeros(len(rows))
+        if len(rows) and blocks:
+            values = np.stack(rows.to_numpy())
+            at_row = np.arange(len(values))[:, None]
+            for roots, f, x, left, right, v in blocks:
+                node = np.broadcast_to(roots, (len(values), len(roots))).copy()
+                while (f[node] >= 0).any():
+                    down = values[at_row, np.maximum(f[node], 0)] <= x[node]
+                    node = np.where(down, left[node], right[node])
+                for k in range(len(roots)):  # tree by tree, as training adds them
+                    total += rate * v[node[:, k]]
+        return pd.Series(total)
+
+    return score
+
+
+def _read_tree(java_model, index_map: list[int], reg_alpha: float = 0.0, reg_lambda: float = 0.0) -> dict:
+    """Walk the JVM tree once (it has at most 2^depth leaves).
+
+    A leaf's value is −G / H; L1 shrinks |G| by ``reg_alpha`` and L2 adds
+    ``reg_lambda`` to H (H is the leaf's total weight).
+    """
+
+    def leaf(node) -> float:
+        value = float(node.prediction())
+        if not (reg_alpha or reg_lambda):
+            return value
+        h = float(node.impurityStats().count())
+        return math.copysign(max(abs(value) * h - reg_alpha, 0.0), value) / (h + reg_lambda) if h + reg_lambda > 0 else 0.0
 
     def walk(node):
         if node.getClass().getSimpleName() == "InternalNode":
@@ -96,7 +150,7 @@ def _read_tree(java_model, index_map: list[int]) -> dict:
                 "l": walk(node.leftChild()),
                 "r": walk(node.rightChild()),
             }
-        return {"v": float(node.prediction())}
+        return {"v": leaf(node)}
 
     return walk(java_model.rootNode())
 
@@ -114,10 +168,7 @@ class LambdaMARTModel:
 
     def score_expr(self, n_trees: int | None = None) -> Column:
         trees = self.trees[: n_trees if n_trees is not None else self.best_iteration]
-        total = F.lit(0.0)
-        for t in trees:
-            total = total + F.lit(self.learning_rate) * t.expr()
-        return total
+        return forest_scorer(trees, self.learning_rate)(F.array(*[_feature_col(c) for c in self.features]))
 
     def transform(self, df: DataFrame, output_col: str = "relevance_score") -> DataFrame:
         """Scores (M6); missing feature columns count as 0 like the aligned
@@ -149,6 +200,8 @@ class LambdaMART:
     min_child_samples: int = 20
     subsample: float = 1.0
     colsample_bytree: float = 1.0
+    reg_alpha: float = 0.0
+    reg_lambda: float = 0.0
     max_bins: int = 32
     truncation_level: int = 30
     sigmoid: float = 1.0
@@ -166,12 +219,14 @@ class LambdaMART:
 
     # ---------------------------------------------------------------- data prep
     def _prepare(self, df: DataFrame, features: list[str], label: str, group: str) -> DataFrame:
-        """(group, rn, label, features vector, inv_max_dcg, score=0), hash
-        partitioned by group; rn is a deterministic id inside the group."""
+        """(group, rn, item, label, features vector, inv_max_dcg, score=0), hash
+        partitioned by group; rn numbers the group's rows by item and feature
+        hash, so neither it nor any order made from it depends on the label."""
         T = self.truncation_level
-        cols = [F.col(group), F.col(label).cast("double").alias("_y")] + [_feature_col(c).alias(f"_x{i}") for i, c in enumerate(features)]
+        item = F.col(ITEM_COL).cast("long") if ITEM_COL in df.columns else F.lit(0).cast("long")
+        cols = [F.col(group), item.alias("_item"), F.col(label).cast("double").alias("_y")] + [_feature_col(c).alias(f"_x{i}") for i, c in enumerate(features)]
         base = df.select(*cols)
-        w_id = Window.partitionBy(group).orderBy("_y", *[f"_x{i}" for i in range(len(features))])
+        w_id = Window.partitionBy(group).orderBy(F.col("_item").asc_nulls_last(), F.xxhash64(*[f"_x{i}" for i in range(len(features))]))
         w_ideal = Window.partitionBy(group).orderBy(F.desc("_y"))
         base = base.withColumns({"_rn": F.row_number().over(w_id), "_ip": F.row_number().over(w_ideal)})
         ideal = F.when(F.col("_ip") <= T, gain(F.col("_y")) * discount(F.col("_ip"))).otherwise(F.lit(0.0))
@@ -180,6 +235,7 @@ class LambdaMART:
         out = vec.transform(base).select(
             group,
             "_rn",
+            "_item",
             "_y",
             "_f",
             F.when(F.col("_idcg") > 0, F.lit(1.0) / F.col("_idcg")).otherwise(F.lit(0.0)).alias("_inv"),
@@ -192,9 +248,9 @@ class LambdaMART:
         """(group, _rn, _g, _h) for rows that take part in at least one pair."""
         T, sig = self.truncation_level, float(self.sigmoid)
         w = Window.partitionBy(group)
-        ranked = S.select(group, "_rn", "_y", "_s", "_inv").withColumns(
+        ranked = S.select(group, "_rn", "_item", "_y", "_s", "_inv").withColumns(
             {
-                "_p": F.row_number().over(Window.partitionBy(group).orderBy(F.desc("_s"), "_rn")),
+                "_p": F.row_number().over(Window.partitionBy(group).orderBy(F.desc("_s"), F.col("_item").asc_nulls_last(), "_rn")),
                 "_best": F.max("_s").over(w),
                 "_worst": F.min("_s").over(w),
             }
@@ -228,6 +284,13 @@ class LambdaMART:
             per_row = per_row.select(group, "_rn", "_g", "_h")
         return per_row
 
+    def gradients(self, df: DataFrame, score: str, label: str = LABEL_COL, group: str = GROUP_COL) -> DataFrame:
+        """(group, item, g, h): one round's gradients for given scores (J4); items are unique within a group."""
+        rows = self._prepare(df, [score], label, group)
+        rows = rows.withColumn("_s", vector_to_array("_f")[0])
+        found = self._gradients(rows, group)
+        return found.join(rows.select(group, "_rn", "_item"), [group, "_rn"]).select(group, F.col("_item").alias(ITEM_COL), F.col("_g").alias("g"), F.col("_h").alias("h"))
+
     # ------------------------------------------------------------------ fit
     def fit(
         self,
@@ -289,14 +352,14 @@ class LambdaMART:
                 seed=self.seed,
             )
             model = dtr.fit(fit_rows)
-            tree = Tree(_read_tree(model._java_obj, index_map), features)
+            tree = Tree(_read_tree(model._java_obj, index_map, float(self.reg_alpha), float(self.reg_lambda)), features)
             fit_rows.unpersist()
             trees.append(tree)
-            # update scores with the same expression used for scoring
-            step = F.lit(lr) * self._vector_tree_expr(tree)
+            # update scores with the same function used for scoring
+            step = forest_scorer([tree], lr)
 
             def advance(frame):
-                return frame.withColumn("_a", vector_to_array(F.col("_f"))).withColumn("_s", F.col("_s") + step).drop("_a")
+                return frame.withColumn("_s", F.col("_s") + step(vector_to_array(F.col("_f"))))
 
             new_tr = advance(Ftr)
             new_va = advance(Fva) if Fva is not None else None
@@ -310,7 +373,7 @@ class LambdaMART:
             Ftr, Fva = new_tr, new_va
             rec = {"round": rnd, "seconds": time.time() - t0}
             if Fva is not None:
-                score = mean_ndcg(Fva, "_s", label="_y", group=group, k=self.eval_at, tiebreak=("_rn",)).first()[0]
+                score = mean_ndcg(Fva, "_s", label="_y", group=group, k=self.eval_at, tiebreak=("_item",)).first()[0]
                 rec[f"val_ndcg_at_{self.eval_at}"] = score
                 if best_score is None or (score is not None and score > best_score):
                     best_score, best_iter, since_best = score, rnd, 0
@@ -340,18 +403,6 @@ class LambdaMART:
             training_seconds=time.time() - t0,
         )
 
-    @staticmethod
-    def _vector_tree_expr(tree: Tree) -> Column:
-        """The tree on ``_a``, the feature vector as an array (training frames)."""
-        v = F.col("_a")
-
-        def build(n):
-            if "v" in n:
-                return F.lit(float(n["v"]))
-            return F.when(v.getItem(n["f"]) <= F.lit(float(n["t"])), build(n["l"])).otherwise(build(n["r"]))
-
-        return build(tree.root)
-
     def params(self) -> dict:
         return {
             "objective": "lambdarank",
@@ -362,6 +413,8 @@ class LambdaMART:
             "min_child_samples": self.min_child_samples,
             "subsample": self.subsample,
             "colsample_bytree": self.colsample_bytree,
+            "reg_alpha": self.reg_alpha,
+            "reg_lambda": self.reg_lambda,
             "max_bins": self.max_bins,
             "truncation_level": self.truncation_level,
             "eval_at": self.eval_at,

@@ -58,14 +58,16 @@ def submission(
 ) -> DataFrame:
     """Ranked list (M7): ``SearchId, PropertyId`` best first within each search.
 
-    The order is materialised as a range partitioning on the search id plus a
-    sort inside partitions (O2), so written part files are globally ordered
-    without a single-task global sort.
+    The order is materialised as a range partitioning on the search id and the
+    score plus a sort inside partitions (O2), so written part files are globally
+    ordered without a single-task global sort, and one hot search is spread over
+    several of them.
     """
+    ties = [F.col(f"_t{i}").asc_nulls_last() for i in range(len(tiebreak))]
     return (
         df.select(F.col(group).alias("SearchId"), F.col(item).alias("PropertyId"), F.col(score).alias("_s"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)])
-        .repartitionByRange("SearchId")
-        .sortWithinPartitions("SearchId", F.col("_s").desc_nulls_last(), *[f"_t{i}" for i in range(len(tiebreak))])
+        .repartitionByRange("SearchId", F.col("_s").desc_nulls_last(), *ties)
+        .sortWithinPartitions("SearchId", F.col("_s").desc_nulls_last(), *ties)
         .select("SearchId", "PropertyId")
     )
 

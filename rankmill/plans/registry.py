@@ -306,9 +306,12 @@ def q_m09_skip(spark, sf):
     "prop_id ASC NULLS LAST) AS rank_in_search FROM impressions",
 )
 def q_m07(spark, sf):
-    df = impressions(spark, sf).withColumn("score", -F.col("price_usd"))
-    ranked = R.rank_in_group(df, "score", tiebreak=("prop_id",), out="rank_in_search")
-    return ranked.select(F.col("srch_id").alias("SearchId"), F.col("prop_id").alias("PropertyId"), "rank_in_search")
+    from pyspark.sql import Window
+
+    listed = R.submission(impressions(spark, sf).withColumn("score", -F.col("price_usd")), "score")
+    # the rank is read off the order in which submission() delivers the rows
+    listed = listed.withColumn("_at", F.monotonically_increasing_id())
+    return listed.withColumn("rank_in_search", F.row_number().over(Window.partitionBy("SearchId").orderBy("_at"))).drop("_at")
 
 
 @register(
@@ -508,7 +511,7 @@ def q_g16(spark, sf):
     return norm_df(ST.correlation(impressions(spark, sf), "srch_length_of_stay", "srch_booking_window"), ["correlation"])
 
 
-_CORR_COLS = [c for c in NUMERIC if c not in ("srch_id",)][:24]
+_CORR_COLS = list(NUMERIC)
 
 
 @register(
@@ -550,28 +553,31 @@ def q_g19(spark, sf):
     return norm_df(P.min_max(impressions(spark, sf), "srch_query_affinity_score"), ["min_value", "max_value"])
 
 
+# every pair of values is a cell, with 0 rows where none fall into it
 _CHI_SQL = (
-    W + f", c AS (SELECT {_RECURRING_SQL} AS a, booking_bool AS b, CAST(count(*) AS DOUBLE) AS o FROM impressions GROUP BY 1, 2)\n"
-    ", e AS (SELECT *, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e, "
-    "(count(DISTINCT a) OVER () - 1) * (count(DISTINCT b) OVER () - 1) AS dof FROM c)\n"
+    W + f", b AS (SELECT {_RECURRING_SQL} AS a, booking_bool AS b FROM impressions WHERE booking_bool IS NOT NULL)\n"
+    ", ra AS (SELECT a, CAST(count(*) AS DOUBLE) AS ra FROM b GROUP BY a), cb AS (SELECT b, CAST(count(*) AS DOUBLE) AS cb FROM b GROUP BY b)\n"
+    ", c AS (SELECT a, b, CAST(count(*) AS DOUBLE) AS o FROM b GROUP BY a, b)\n"
+    ", e AS (SELECT COALESCE(o, 0.0) AS o, ra * cb / (SELECT count(*) FROM b) AS e, "
+    "((SELECT count(*) FROM ra) - 1) * ((SELECT count(*) FROM cb) - 1) AS dof FROM ra CROSS JOIN cb LEFT JOIN c USING (a, b))\n"
+    ", x AS (SELECT sum(pow(greatest(abs(o - e) - CASE WHEN dof = 1 THEN least(0.5, abs(o - e)) ELSE 0.0 END, 0.0), 2) / e) AS chi2, max(dof) AS dof FROM e)\n"
 )
 
 
-@register(
-    "g20_chi2_recurring_booking",
-    W.replace(W, "") + _CHI_SQL.replace("count(DISTINCT a) OVER ()", "(SELECT count(DISTINCT a) FROM c)").replace("count(DISTINCT b) OVER ()", "(SELECT count(DISTINCT b) FROM c)")
-    + "SELECT " + _f("sum(pow(greatest(abs(o - e) - CASE WHEN dof = 1 THEN least(0.5, abs(o - e)) ELSE 0.0 END, 0.0), 2) / e)", "chi2")
-    + ", CAST(max(dof) AS INTEGER) AS dof FROM e",
-)
+@register("g20_chi2_recurring_booking", _CHI_SQL + "SELECT " + _f("chi2", "chi2") + ", CAST(dof AS INTEGER) AS dof FROM x")
 def q_g20(spark, sf):
     df = row_features(impressions(spark, sf))
-    out = ST.chi2_2x2(df, "is_recurring_customer", "booking_bool").select("chi2", F.col("dof").cast("int").alias("dof"))
+    out = ST.chi2_2x2(df, "is_recurring_customer", "booking_bool").select("chi2", "dof")
     return norm_df(out, ["chi2"])
 
 
-@register("g20_chi2_p_value")
+@register(
+    "g20_chi2_p_value",
+    _CHI_SQL + ", y AS (SELECT sqrt(chi2 / 2.0) AS z, dof FROM x) SELECT " + _f("CASE WHEN dof = 1 THEN " + ST.erfc_sql("z") + " END", "p_value") + " FROM y",
+)
 def q_g20p(spark, sf):
-    return ST.chi2_2x2(row_features(impressions(spark, sf)), "is_recurring_customer", "booking_bool")
+    out = ST.chi2_2x2(row_features(impressions(spark, sf)), "is_recurring_customer", "booking_bool")
+    return norm_df(out.select("p_value"), ["p_value"])
 
 
 @register(
@@ -705,7 +711,11 @@ def q_b09(spark, sf):
     return B.hexbin_counts(impressions(spark, sf), clip_upper("srch_booking_window", 365), clip_upper("srch_length_of_stay", 30), 50)
 
 
-@register("b10_scatter_sample")
+@register(
+    "b10_scatter_sample",
+    W + "SELECT srch_id, prop_id, position, LEAST(srch_booking_window, 365) AS srch_booking_window_capped, LEAST(srch_length_of_stay, 30) AS srch_length_of_stay_capped "
+    "FROM impressions ORDER BY md5('42|' || srch_id || '|' || prop_id || '|' || position), srch_id, prop_id, position, 4, 5 LIMIT 5000",
+)
 def q_b10(spark, sf):
     from rankmill.functions.scalar import clip_upper
 
@@ -714,4 +724,7 @@ def q_b10(spark, sf):
         clip_upper("srch_booking_window", 365).alias("srch_booking_window_capped"),
         clip_upper("srch_length_of_stay", 30).alias("srch_length_of_stay_capped"),
     )
-    return B.seeded_sample(df, 5000, seed=42)
+    return B.seeded_sample(df, 5000, seed=42, key_cols=["srch_id", "prop_id", "position"])
+
+
+import rankmill.plans.registry_runs  # noqa: E402, F401  (registers the queries of splits, orders, gradients and run logs)

@@ -62,7 +62,7 @@ def tune(raw: DataFrame, n_trials: int = 5, seed: int = 42, out_path: str | None
     for row in trials:
         p = row.asDict()
         trial = p.pop("trial")
-        params = {k: p[k] for k in ("n_estimators", "learning_rate", "num_leaves", "max_depth", "min_child_samples", "subsample", "colsample_bytree")}
+        params = {k: p[k] for k in ("n_estimators", "learning_rate", "num_leaves", "max_depth", "min_child_samples", "subsample", "colsample_bytree", "reg_alpha", "reg_lambda")}
         params.update(fixed or {})
         try:
             model, info = train_model(train, val, feats, params)

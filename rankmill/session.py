@@ -49,8 +49,9 @@ def get_spark(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    The cluster's setting always wins. Only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    The cluster's setting always wins. Where it is unset, a local master gets a
+    fresh scratch folder; any other master is an error, as its executors would
+    each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -60,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="rankmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local

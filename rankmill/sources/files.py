@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankmill.schema import GROUP_COL, impression_schema
 
@@ -26,10 +27,10 @@ def load_impressions(
     limit_groups: int | None = None,
     group: str = GROUP_COL,
 ) -> DataFrame:
-    """CSV with header and the explicit log schema (S1); both ``NULL`` and an
-    empty cell load as null. ``limit_rows`` keeps the first rows of the file
-    (S2, may cut a search); ``limit_groups`` keeps whole searches with the
-    smallest ids. A missing path raises (S3)."""
+    """CSV with header and the explicit log schema (S1); ``NULL``, ``NaN`` and an
+    empty cell load as null. ``limit_rows`` keeps the first rows in the order of
+    file, block and line (S2, may cut a search); ``limit_groups`` keeps whole
+    searches with the smallest ids. A missing path raises (S3)."""
     df = (
         spark.read.schema(impression_schema(train))
         .option("header", True)
@@ -38,8 +39,14 @@ def load_impressions(
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    real = {c for c, t in df.dtypes if t in ("double", "float")}
+    cells = [F.when(~F.isnan(c), F.col(c)).alias(c) if c in real else F.col(c) for c in df.columns]
     if limit_rows is not None:
-        df = df.limit(int(limit_rows))
+        place = ["_metadata.file_path", "_metadata.file_block_start"]
+        placed = df.select(*cells, *[F.col(p).alias(f"__p{i}") for i, p in enumerate(place)], F.monotonically_increasing_id().alias("__line"))
+        df = placed.orderBy("__p0", "__p1", "__line").limit(int(limit_rows)).drop("__p0", "__p1", "__line")
+    else:
+        df = df.select(*cells)
     if limit_groups is not None:
         keys = df.select(group).distinct().orderBy(group).limit(int(limit_groups))
         df = df.join(keys, group, "left_semi")
