@@ -27,7 +27,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[int, np.ndarray] = {}
+
+
+class _Tables(dict):
+    """A memo that is empty again in every task: its tables don't travel with the functions that use it."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_powers: dict[int, np.ndarray] = _Tables()
 
 
 def _power_table(base: np.uint64, n: int) -> np.ndarray:
