@@ -273,4 +273,15 @@ def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-__all__ = ["matching_runs", "op4_substring_dedup", "substring_dedup"]
+
+#: DuckDB twin.
+ORACLE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT rid, doc_id, w, unnest(range(1, len(w) - {WINDOW} + 2)) AS i FROM d WHERE len(w) >= {WINDOW}),
+g AS (SELECT rid, doc_id, i, array_to_string(w[i:i + {WINDOW} - 1], ' ') AS g FROM s),
+m AS (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM g),
+r AS (SELECT DISTINCT rid, unnest(range(i, i + {WINDOW})) AS p FROM m WHERE least < doc_id),
+u AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT rid, count(*) AS kept, string_agg(word, ' ' ORDER BY p) AS t FROM u ANTI JOIN r USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)
+"""

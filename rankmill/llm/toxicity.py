@@ -205,7 +205,7 @@ def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     """Contract query: doc_id, held_out, score, predicted for every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
     grammar = train(docs, labels, ~held)
     scored = score_documents(docs.select("doc_id", "text"), grammar)
     score = F.col("toxicity.score")

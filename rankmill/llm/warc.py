@@ -236,3 +236,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     folder = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     return read_warc(write_warc(pages, folder)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+#: DuckDB twin.
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages),
+g AS (SELECT *, CAST(CAST(unhex(sha1(body)) AS BIT) AS VARCHAR) AS bits, max(page_id) OVER (PARTITION BY body) AS lead FROM p)
+SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST('0b' || substr(bits, 5 * i + 1, 5) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN lead IS NULL OR page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> lead THEN lead END AS refers_to, url FROM g
+"""
