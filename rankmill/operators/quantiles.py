@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10000
-# A key's values are split into this many ranges for running counts.
-RANGES = 64
+# A key's values are split into this many ranges per doubling of 1 + |value| for running counts.
+RANGES_PER_OCTAVE = 16
 
 
 def _inside(lo: float | None, hi: float | None) -> Column:
@@ -97,19 +97,20 @@ def exact_quantile(df: DataFrame, column: str, p: float, **kw) -> float | None:
 def running_counts(hist: DataFrame, keys: list[str], value: str, count: str = "n") -> DataFrame:
     """``hist`` with ``cum`` (rows of the key up to and with this value) and ``tot`` (rows of the key).
 
-    ``hist`` has one row per (keys, value). A key's values are split at fixed
-    fractions of all values, so that one hot key is walked by many tasks; the
-    ranges' totals (at most ``RANGES`` per key) give the counts before a range.
+    ``hist`` has one row per (keys, value). A key's values are split at fixed steps
+    of their logarithm (no extra pass to find cuts), so that one hot key is walked
+    by many tasks; the ranges' totals give the counts before a range.
     """
-    cuts = hist.select(F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], 1000)).scalar()
-    hist = hist.withColumn("_cuts", cuts).withColumn("_range", F.expr(f"size(filter(_cuts, c -> c < `{value}`))")).drop("_cuts")
+    v = F.col(value).cast("double")
+    step = F.signum(v) * F.log2(F.lit(1.0) + F.abs(v)) * F.lit(float(RANGES_PER_OCTAVE))
+    hist = hist.withColumn("_range", F.floor(F.greatest(F.lit(-1e5), F.least(step, F.lit(1e5)))))
     inner = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("_in", F.sum(count).over(inner))
     totals = hist.groupBy(*keys, "_range").agg(F.sum(count).alias("_n"))
     outer = Window.partitionBy(*keys)
     upto = outer.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = totals.select(*keys, "_range", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(outer).alias("tot"))
-    out = hist.join(totals, [*keys, "_range"])
+    out = hist.join(totals, [*keys, "_range"])  # null values have count 0, so their range does not matter
     return out.withColumn("cum", F.col("_in") + F.col("_before")).drop("_range", "_in", "_before")
 
 

@@ -11,6 +11,7 @@ from rankmill.operators import ranking as R
 from rankmill.operators import runs as A
 from rankmill.operators import split as SP
 from rankmill.operators import stats as ST
+from rankmill.operators.features import engineer_features, prop_table
 from rankmill.operators.ranker import LambdaMART
 from rankmill.plans.oracle import norm_df
 from rankmill.plans.registry import register
@@ -63,17 +64,36 @@ def q_p07(spark, sf):
     return ST.value_counts(df, "srch_destination_id")
 
 
+@register(
+    "t06_train_fitted_hotel_stats",
+    W + ", p AS (SELECT prop_id, avg(price_usd) AS a, median(CAST(prop_location_score2 AS DOUBLE)) AS m, COALESCE(stddev_samp(price_usd), 0.0) AS s "
+    "FROM impressions WHERE srch_id % 2 = 0 GROUP BY prop_id) SELECT t.srch_id, t.prop_id, t.position, CAST(a AS FLOAT) AS avg_price_usd_for_prop, "
+    "CAST(m AS FLOAT) AS median_prop_location_score2_for_prop, CAST(s AS FLOAT) AS stddev_price_usd_for_prop, CAST(t.price_usd - a AS FLOAT) AS price_deviation_from_prop_hist_avg "
+    "FROM impressions t LEFT JOIN p ON t.prop_id = p.prop_id WHERE t.srch_id % 2 = 1",
+)
+def q_t06(spark, sf):
+    df = impressions(spark, sf)
+    out = engineer_features(df.filter("srch_id % 2 = 1"), hotel_stats=prop_table(df.filter("srch_id % 2 = 0")))
+    names = ["avg_price_usd_for_prop", "median_prop_location_score2_for_prop", "stddev_price_usd_for_prop", "price_deviation_from_prop_hist_avg"]
+    return norm_df(out.select("srch_id", "prop_id", "position", *names), names)
+
+
 @register("p03_align", W + "SELECT srch_id, prop_id, CAST(0 AS INTEGER) AS absent_feature, site_id, position FROM impressions")
 def q_p03(spark, sf):
     return align_to(impressions(spark, sf), ["absent_feature", "site_id", "position"], keep=["srch_id", "prop_id"])
 
 
-@register("o02_sorted_searches", W + "SELECT srch_id, count(*) AS rows, true AS contiguous, row_number() OVER (ORDER BY srch_id) AS place FROM impressions GROUP BY srch_id")
+@register("o02_sorted_searches", W + "SELECT srch_id, count(*) AS rows, true AS contiguous, true AS ordered FROM impressions GROUP BY srch_id")
 def q_o02(spark, sf):
-    placed = R.sort_by_group(impressions(spark, sf).select("srch_id", "prop_id")).withColumn("_at", F.monotonically_increasing_id())
-    groups = placed.groupBy("srch_id").agg(F.count(F.lit(1)).alias("rows"), (F.max("_at") - F.min("_at") + 1 == F.count(F.lit(1))).alias("contiguous"), F.min("_at").alias("_at"))
-    # the place of a search in the delivered order: one row per search
-    return groups.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+    placed = R.sort_by_group(impressions(spark, sf).select("srch_id", "prop_id"))
+    placed = placed.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
+    # within each delivered partition a search follows a smaller or the same one
+    placed = placed.withColumn("_prev", F.lag("srch_id").over(Window.partitionBy("_part").orderBy("_at")))
+    return placed.groupBy("srch_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.max("_at") - F.min("_at") + 1 == F.count(F.lit(1))).alias("contiguous"),
+        F.bool_and(F.col("_prev").isNull() | (F.col("_prev") <= F.col("srch_id"))).alias("ordered"),
+    )
 
 
 _TEXT_SQL = "CASE o_orderkey % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN ' not available' WHEN 2 THEN 'abc' WHEN 3 THEN CAST(CAST(o_orderkey AS DOUBLE) / 8 AS VARCHAR) END"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankmill.functions.columns import align_to, categorical_columns, feature_columns
 from rankmill.functions.scalar import run_timestamp
-from rankmill.operators.features import engineer_features
+from rankmill.operators.features import engineer_features, prop_table
 from rankmill.operators.impute import handle_missing_values
 from rankmill.operators.ranker import LambdaMART, LambdaMARTModel
 from rankmill.operators.ranking import add_relevance, submission
@@ -18,13 +18,21 @@ from rankmill.schema import GROUP_COL, ITEM_COL, LABEL_COL
 from rankmill.sources.files import ensure_not_empty, write_json, write_submission
 
 
-def prepare(df: DataFrame, is_train: bool = True, imputation_params: dict | None = None, impute: bool = True, engineer: bool = True, profile: str = "default"):
+def prepare(
+    df: DataFrame,
+    is_train: bool = True,
+    imputation_params: dict | None = None,
+    impute: bool = True,
+    engineer: bool = True,
+    profile: str = "default",
+    hotel_stats: DataFrame | None = None,
+):
     """Impute, then engineer (K25); returns (frame, imputation params)."""
     params = None
     if impute:
         df, params = handle_missing_values(df, is_train=is_train, imputation_values=imputation_params)
     if engineer:
-        df = engineer_features(df, profile)
+        df = engineer_features(df, profile, hotel_stats)
     return df, params
 
 
@@ -103,13 +111,18 @@ def run(
     on_round=None,
     nrows_train: int | str = "all",
     nrows_test: int | str = "all",
+    hotel_stats: str = "own",
 ) -> dict:
     """The whole training run; returns the log record. ``nrows_*`` are the row
-    limits that the caller loaded the frames with."""
+    limits that the caller loaded the frames with. ``hotel_stats`` "own" takes the
+    test rows' hotel statistics from the test rows, "train" from the training rows."""
+    if hotel_stats not in ("own", "train"):
+        raise ValueError("hotel_stats must be own or train")
     ts = _now(train_raw)
     model, info, feats, summary, imputation, clean = _trained(train_raw, params, profile, on_round)
     if test_raw is not None:
-        processed, _ = prepare(test_raw, is_train=False, imputation_params=imputation, profile=profile)
+        fitted = prop_table(handle_missing_values(train_raw)[0]) if hotel_stats == "train" else None
+        processed, _ = prepare(test_raw, is_train=False, imputation_params=imputation, profile=profile, hotel_stats=fitted)
         aligned = align_to(processed, model.features, keep=[GROUP_COL, ITEM_COL])
         summary["raw_test_shape"] = _shape(test_raw)
         summary["final_processed_test_shape"] = _shape(processed)

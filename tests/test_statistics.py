@@ -245,3 +245,34 @@ def test_entry_without_the_corpus_operators(tmp_path):
     shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 55 and not any(k.startswith('op') or k == 'pipeline' for k in q) and set(e.oracle_sql()) == set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+
+def test_feature_plan_scans_and_exchanges(spark, tmp_path):
+    from rankmill.operators.features import engineer_features
+    from rankmill.sources.bridge import impressions
+
+    path = str(tmp_path / "log.parquet")
+    impressions(spark, "/root/testdata/sf0.001").write.parquet(path)
+    plan = engineer_features(spark.read.parquet(path))._jdf.queryExecution()
+    # statistics and medians of hotels and of searches, price ranks, and the rows; the three histograms stand twice in
+    # the logical plan (running counts and range totals) and run once, as both read one exchange
+    assert plan.optimizedPlan().toString().count("Relation [") <= 9
+    assert plan.executedPlan().toString().count("CartesianProduct") == 0
+
+
+def test_hotel_statistics_of_training_rows(spark):
+    from rankmill.operators.features import engineer_features, prop_table
+
+    cols = "srch_id long, prop_id long, price_usd double, visitor_hist_starrating double, visitor_hist_adr_usd double"
+    train = spark.createDataFrame([(1, 1, 10.0, None, None), (2, 1, 30.0, None, None)], cols)
+    test = spark.createDataFrame([(3, 1, 50.0, None, None), (3, 2, 5.0, None, None)], cols)
+    own = {r.prop_id: r.avg_price_usd_for_prop for r in engineer_features(test).collect()}
+    fitted = {r.prop_id: r.avg_price_usd_for_prop for r in engineer_features(test, hotel_stats=prop_table(train)).collect()}
+    assert own == {1: 50.0, 2: 5.0} and fitted == {1: 20.0, 2: None}
+
+
+def test_null_prices_keep_their_rows_and_have_no_rank(spark):
+    rows = [(1, 1, None), (1, 2, 5.0), (1, 3, 5.0), (2, 4, None)]
+    df = spark.createDataFrame(rows, "srch_id long, prop_id long, price_usd double")
+    got = {(r.srch_id, r.price_usd): r.r for r in key_average_rank(df, "srch_id", "price_usd", "r", keep_null=True).collect()}
+    assert got == {(1, None): None, (1, 5.0): 1.5, (2, None): None}
