@@ -15,9 +15,10 @@ makes a BPE sequence the encoding of its text, and word splits restart at each
 split alike. A window that never agrees grows to the whole text of both sides.
 
 Pieces are cut anywhere, also inside a word without any split. Words between
-ASCII white space never share a token in this vocabulary, so within a piece each
-distinct word is encoded once (``encode_words``); a memo of bounded size keeps
-the ids and the decoded form of recent words.
+ASCII white space never share a token in this vocabulary, so only the runs at a
+piece's edges (all of it, if it has no white space) need joining; within the
+rest each distinct word is encoded once (``encode_words``), and a memo of bounded
+size keeps the ids and the decoded form of recent words.
 
 Tokenizer files are read on the driver from a path (a parameter) and broadcast:
 their size is that of a vocabulary, whatever the input. Defined cases: null and
@@ -28,6 +29,13 @@ other columns stay in ``row``. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
+import re
+import struct
+import sys
+import types
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +45,7 @@ from rankmill.llm import wordhash as wh
 
 TOKENIZER = "word_bpe_49k.json"
 PIECE_CHARS = 1 << 15
-MEMO_WORDS = 200_000
+MEMO_WORDS = 600_000
 FIRST_WINDOW = 64  # characters on each side of a cut; longer than any special token
 AGREE = 2
 
@@ -66,18 +74,53 @@ def load(json_text: str):
     return t
 
 
+# ASCII marks from a letter or digit to the word's end are a token split of their own.
+_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x9f-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)(?=[\x09-\x0D\x20]|$)")
+
+
+def separate_words(text: str) -> list[bytes]:
+    """Parts of a text that never share a token: runs without ASCII white space, closing marks apart.
+
+    The tokenizer folds case, so ASCII letters are folded first. Texts with
+    ``<|``, which may begin a special token, are only cut at white space.
+    """
+    data = text.encode()
+    if b"<|" in data:
+        return data.split()
+    return _MARKS.sub(rb" \1", data.lower()).split()
+
+
+# Lower-case ASCII and Latin-1 letters: such a word is one split, and normalisation leaves it as it is.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def byte_symbols() -> list[str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256, 257, ..."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
+
+
 class Memo:
-    """Ids and decoded form of distinct words, at most about ``MEMO_WORDS`` at a time."""
+    """Ids and decoded form of distinct words, about ``MEMO_WORDS`` at a time."""
 
     def __init__(self, tokenizer):
         self.tokenizer, self.known = tokenizer, {}
+        self.model, self.symbols = tokenizer.model, byte_symbols()
+
+    def plain(self, word: bytes) -> tuple[bytes, str]:
+        """A word that is one split, straight to the model's merges."""
+        tokens = self.model.tokenize(word.decode() if word.isascii() else "".join([self.symbols[b] for b in word]))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens]), " ".join([t.value for t in tokens])
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        new = {w for words in texts for w in words if w not in self.known}
-        if len(self.known) + len(new) > MEMO_WORDS:
-            self.known = {}
-            new = {w for words in texts for w in words}
-        new = list(new)
+        here = set(chain.from_iterable(texts))
+        new = list(here - self.known.keys())
+        if len(self.known) + len(new) > MEMO_WORDS:  # keep what is in use
+            self.known = {w: self.known[w] for w in here & self.known.keys()}
+        one = [w for w in new if _PLAIN.fullmatch(w.decode())]
+        self.known.update((w, self.plain(w)) for w in one)
+        new = list(set(new).difference(one))
         for lo in range(0, len(new), 10_000):
             some = new[lo : lo + 10_000]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
@@ -85,13 +128,24 @@ class Memo:
             self.known.update((w, (np.array(i, "<u4").tobytes(), d)) for w, i, d in zip(some, ids, words, strict=True))
 
     def encode(self, words: list[bytes]) -> tuple[bytes, str]:
-        got = [self.known[w] for w in words]
-        return b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[0]])
+        if not words:
+            return b"", ""
+        ids, decoded = zip(*[self.known[w] for w in words], strict=True)
+        return b"".join(ids), " ".join(filter(None, decoded))
+
+
+def worker_memo(json_text: str) -> Memo:
+    """One memo for the life of a Python worker process, whatever tasks it runs."""
+    shelf = sys.modules.setdefault("rankmill_bpe_memo", types.ModuleType("rankmill_bpe_memo")).__dict__
+    key = hashlib.md5(json_text.encode()).hexdigest()
+    if key not in shelf:
+        shelf[key] = Memo(load(json_text))
+    return shelf[key]
 
 
 def encode_words(texts: list[str | None], memo: Memo) -> list[tuple[bytes, str]]:
     """(ids as little-endian 32-bit integers, decoded text) of every text."""
-    split = [(t or "").encode().split() for t in texts]
+    split = [separate_words(t) if t else [] for t in texts]
     memo.learn(split)
     return [memo.encode(words) for words in split]
 
@@ -165,13 +219,67 @@ def halves(n: int, most: int) -> list[tuple[int, int]]:
     return parts
 
 
+def open_parts(piece: str) -> tuple[int, int]:
+    """(end of the first run, start of the last run) of characters that are no ASCII white space; (n, n): one run."""
+    blanks = [m for m in (_BLANK.search(piece), _LAST_BLANK.search(piece)) if m]
+    return (blanks[0].start(), blanks[1].end()) if blanks else (len(piece), len(piece))
+
+
+_BLANK = re.compile(r"[\x09-\x0D\x20]")
+_LAST_BLANK = re.compile(r"(?s:.*)[\x09-\x0D\x20]")
+
+
+def encode_piece(tokenizer, memo: Memo, piece: str, lo: int) -> list[dict]:
+    """A piece's parts in order: runs that reach its edges, with token places (open), and the words between."""
+    head, tail = open_parts(piece)
+    parts = []
+
+    def run(a: int, b: int) -> None:
+        if a < b:
+            side = Side.of(tokenizer, piece[a:b], lo + a)
+            parts.append({"open": True, "lo": lo + a, "text": piece[a:b], "tokens": np.stack([side.ids, side.starts, side.ends]).astype("<i8").tobytes(), "decoded": ""})
+
+    run(0, head)
+    if head < len(piece):
+        ((ids, decoded),) = encode_words([piece[head:tail]], memo)
+        parts.append({"open": False, "lo": lo + head, "text": "", "tokens": ids, "decoded": decoded})
+        run(tail, len(piece))
+    return parts
+
+
+def join_parts(tokenizer, parts: list[dict]) -> tuple[bytes, str]:
+    """Ids and decoded text of a text's parts; neighbouring open runs are joined as a tree."""
+    ids, decoded, runs = [], [], []
+
+    def close() -> None:
+        if runs:
+            lo = runs[0]["lo"]
+            sides = [Side(*np.frombuffer(r["tokens"], "<i8").reshape(3, -1), r["lo"] - lo, r["lo"] - lo + len(r["text"])) for r in runs]
+            for s in sides:
+                s.starts, s.ends = s.starts - lo, s.ends - lo
+            found = concatenate_tree(tokenizer, "".join(r["text"] for r in runs), sides).ids
+            ids.append(found.astype("<u4").tobytes())
+            decoded.append(tokenizer.decode(found.tolist(), skip_special_tokens=False))
+            runs.clear()
+
+    for p in parts:
+        if p["open"]:
+            runs.append(p)
+        else:
+            close()
+            ids.append(p["tokens"])
+            decoded.append(p["decoded"])
+    close()
+    return b"".join(ids), " ".join(filter(None, decoded))
+
+
 def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """One row per document: ``row`` (all its columns), ``ids`` (little-endian 32-bit integers) and ``decoded``."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer_path))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
 
     def short(batches):
-        memo = Memo(load(shared.value))
+        memo = worker_memo(shared.value)
         for batch in batches:
             for part in wh.slices(batch, "__text"):
                 got = encode_words(part.column("__text").to_pylist(), memo)
@@ -185,30 +293,27 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, piece_char
                     yield pa.RecordBatch.from_arrays([row, batch.column("__id").slice(i, 1), pa.array([no], pa.int32()), pa.array([a], pa.int64()), pa.array([text[a:b]], pa.string())], ["row", "__id", "no", "lo", "piece"])
 
     def encode(batches):
-        tokenizer = load(shared.value)
+        memo = worker_memo(shared.value)
+        tokenizer = memo.tokenizer
         for batch in batches:
             for i in range(batch.num_rows):
-                side = Side.of(tokenizer, batch.column("piece")[i].as_py(), batch.column("lo")[i].as_py())
-                tokens = np.stack([side.ids, side.starts, side.ends]).astype("<i8").tobytes()
-                same = ["row", "__id", "no", "lo", "piece"]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in same), pa.array([tokens], pa.binary())], [*same, "tokens"])
+                parts = encode_piece(tokenizer, memo, batch.column("piece")[i].as_py(), batch.column("lo")[i].as_py())
+                cols = [pa.array([[p[k] for p in parts]], pa.list_(t)) for k, t in (("open", pa.bool_()), ("lo", pa.int64()), ("text", pa.string()), ("tokens", pa.binary()), ("decoded", pa.string()))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in ("row", "__id", "no")), *cols], ["row", "__id", "no", "open", "lo", "text", "tokens", "decoded"])
 
     def join(table: pa.Table) -> pa.Table:
-        tokenizer = load(shared.value)
         table = table.sort_by("no")
-        parts = table.select(["lo", "piece", "tokens"]).to_pylist()
-        text = "".join(r["piece"] for r in parts)
-        sides = [Side(*np.frombuffer(r["tokens"], "<i8").reshape(3, -1), r["lo"], r["lo"] + len(r["piece"])) for r in parts]
-        ids = concatenate_tree(tokenizer, text, sides).ids
-        decoded = tokenizer.decode(ids.tolist(), skip_special_tokens=False)
-        return pa.table({"row": table.column("row").slice(0, 1), "ids": pa.array([ids.astype("<u4").tobytes()], pa.binary()), "decoded": pa.array([decoded], pa.string())})
+        pieces = table.select(["open", "lo", "text", "tokens", "decoded"]).to_pylist()
+        parts = [dict(zip(p, values, strict=True)) for p in pieces for values in zip(*p.values(), strict=True)]
+        ids, decoded = join_parts(worker_memo(shared.value).tokenizer, parts)
+        return pa.table({"row": table.column("row").slice(0, 1), "ids": pa.array([ids], pa.binary()), "decoded": pa.array([decoded], pa.string())})
 
     # a long text's row travels with its first piece; __id only tells texts apart
     field = rows.schema["row"]
-    piece_type = wh.schema_with(field, "__id long, no int, lo long, piece string")
     long = rows.filter(F.length("__text") > piece_chars).withColumn("__id", F.monotonically_increasing_id())
-    pieces = long.mapInArrow(cut, piece_type)
-    encoded = pieces.repartition("__id", "no").mapInArrow(encode, wh.schema_with(field, "__id long, no int, lo long, piece string, tokens binary"))
+    pieces = long.mapInArrow(cut, wh.schema_with(field, "__id long, no int, lo long, piece string"))
+    part_type = "__id long, no int, open array<boolean>, lo array<bigint>, text array<string>, tokens array<binary>, decoded array<string>"
+    encoded = pieces.repartition("__id", "no").mapInArrow(encode, wh.schema_with(field, part_type))
     joined = encoded.groupBy("__id").applyInArrow(join, wh.schema_with(field, _OUT))
     short_rows = rows.filter(F.length("__text") <= piece_chars).mapInArrow(short, wh.schema_with(field, _OUT))
     return short_rows.unionByName(joined)
