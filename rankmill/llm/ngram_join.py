@@ -14,12 +14,18 @@ they differ and their filters are nearly independent.
 2. Pairs of a group are held against the length filter and a parity bitmap: the
    bits in which two bitmaps differ are a lower bound of the tokens in which the
    sets differ. This never loses a link.
-3. Pairs that pass are checked under the other orders, then exactly.
-4. Where very many pairs of a group pass (a family of near copies), only one or
-   two pairs per node are checked first. When the components of those links are known,
-   the group's remaining pairs are checked unless both ends are already in one
-   component. So no group's pairs are all written out, yet no link between
-   components is lost.
+3. Pairs that pass are checked under the other orders, on prefixes that are longer by
+   l - 1 tokens and so share l in every link; of what passes, the whole sets are
+   compared.
+4. Of a group's pairs, one or two per node are checked first. When the components
+   of those links are known, the remaining pairs of groups that have more are
+   checked unless both ends are already in one component. So a family of near
+   copies is not written out as all its pairs, yet no link between components is
+   lost.
+
+Sets are made again from the texts of the nodes that are in some pair; a filter of
+fixed size over their ids keeps other texts out of that shuffle. Where it is too
+small for the ids it lets more texts through, and the join still drops them.
 
 Defined cases: a text with fewer words than ``n`` is one n-gram of all its words;
 texts without words have empty sets and link with nothing; null ids link with
@@ -45,7 +51,8 @@ SKETCH_BITS = 21
 SKETCH_BLOCK = 1 << 16
 PARITY_BITS = 512
 BLOCK = 512
-DENSE = 4  # passing pairs per node above which a group is a family of near copies
+SLICE_BYTES = 1 << 20  # texts hashed at a time: bounds the memory of a task
+FILTER_BITS = 24
 
 _U = np.uint64
 _SALTS = [_U(0x243F6A8885A308D3), _U(0x13198A2E03707344), _U(0xA4093822299F31D0), _U(0x082EFA98EC4E6C89)]
@@ -72,16 +79,49 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def prefix(tokens: np.ndarray, order: int, frequency: np.ndarray, percent: int) -> np.ndarray:
-    """The prefix under one order, as 64-bit names of its tokens (a bijection per order)."""
+def prefix_size(size: int, percent: int) -> int:
+    return size - needed(size, percent) + 1
+
+
+def prefix(tokens: np.ndarray, order: int, frequency: np.ndarray, size: int) -> np.ndarray:
+    """The first ``size`` tokens under one order, as 64-bit names (a bijection per order)."""
     names = wh.mix(tokens ^ _SALTS[order])
-    size = len(tokens) - needed(len(tokens), percent) + 1
     if size >= len(names):
         return names
     rank = (frequency[_cell(tokens)].astype(np.uint64) << _U(58)) | (names >> _U(6))
     return names[np.argpartition(rank, size - 1)[:size]] if len(np.unique(rank)) == len(rank) else names[np.lexsort((names, rank))[:size]]
 
 
+def prefix_filters(tokens: np.ndarray, frequency: np.ndarray, percent: int) -> bytes:
+    """What the pair filter needs of a set: longer prefixes under the other orders, as 32-bit marks.
+
+    Prefixes with l - 1 more tokens share l tokens or more in every link. The
+    blob holds l, the prefix size, and per order the number of distinct marks
+    and the marks.
+    """
+    p = prefix_size(len(tokens), percent)
+    share = max(1, p // 2)
+    parts = [np.array([share, min(p - 1 + share, len(tokens))], np.uint64)]
+    for order in range(1, ORDERS):
+        marks = np.unique(prefix(tokens, order, frequency, p - 1 + share) >> _U(32))
+        parts += [np.array([len(marks)], np.uint64), marks]
+    return np.concatenate(parts).astype("<u4").tobytes()
+
+
+def pass_filters(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two blobs (as 32-bit integers) share enough marks under every other order."""
+    need = int(min(a[0], b[0]))
+    at, bt = 2, 2
+    for _ in range(1, ORDERS):
+        na, nb = int(a[at]), int(b[bt])
+        common = len(np.intersect1d(a[at + 1 : at + 1 + na], b[bt + 1 : bt + 1 + nb], assume_unique=True))
+        # tokens that fell on one mark may be shared without being seen
+        if common < need - (int(a[1]) - na) - (int(b[1]) - nb):
+            return False
+        at, bt = at + 1 + na, bt + 1 + nb
+    return True
+
+
 def _cell(tokens: np.ndarray) -> np.ndarray:
     return (wh.mix(tokens ^ _SKETCH_SALT) >> _U(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -103,7 +143,7 @@ def token_frequency(docs: DataFrame, n: int) -> np.ndarray:
     def count(batches):
         cells = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for part in wh.slices(batch):
+            for part in wh.slices(batch, limit=SLICE_BYTES):
                 w = wh.words(part.column("text"), lower=True)
                 g = wh.ngram_hashes(wh.word_hashes(w), n)
                 cells += np.bincount(_cell(g[wh.whole(w.row, n)]), minlength=len(cells))
@@ -128,7 +168,7 @@ def token_frequency(docs: DataFrame, n: int) -> np.ndarray:
 def _nodes(n: int):
     def run(batches):
         for batch in batches:
-            for part in wh.slices(batch):
+            for part in wh.slices(batch, limit=SLICE_BYTES):
                 sets = document_sets(part, n)
                 signs = [_signature(s) if len(s) else (None, None) for s in sets]
                 parity = np.array([_parity(s) for s in sets]).reshape(-1, _WORDS)
@@ -142,13 +182,13 @@ def _prefix_rows(n: int, percent: int, shared):
     def run(batches):
         frequency = shared.value
         for batch in batches:
-            for part in wh.slices(batch):
+            for part in wh.slices(batch, limit=SLICE_BYTES):
                 seen, tokens, first, second = set(), [], [], []
                 for s in document_sets(part, n):
                     if not len(s) or (sign := _signature(s)) in seen:
                         continue
                     seen.add(sign)
-                    p = wh.signed(prefix(s, 0, frequency, percent))
+                    p = wh.signed(prefix(s, 0, frequency, prefix_size(len(s), percent)))
                     tokens.append(p)
                     first.append(np.full(len(p), sign[0]))
                     second.append(np.full(len(p), sign[1]))
@@ -205,32 +245,29 @@ def _passing(c: dict[str, np.ndarray], percent: int, labels: bool) -> tuple[np.n
 
 
 _NODE_ROW = ["token", "cell", "block", "low", "n_shingles", "s1", "s2", *_P]
-_PAIR_TYPE = f"a1 long, a2 long, b1 long, b2 long, dense boolean, token long, cell long, block long, low long, n_shingles long, s1 long, s2 long, {_P_TYPE}"
+_PAIR_TYPE = f"a1 long, a2 long, b1 long, b2 long, later boolean, token long, cell long, block long, low long, n_shingles long, s1 long, s2 long, {_P_TYPE}"
 
 
-def _pair_batch(c: dict, i: np.ndarray, j: np.ndarray, dense_rows: np.ndarray) -> pa.RecordBatch:
+def _pair_batch(c: dict, i: np.ndarray, j: np.ndarray, later_rows: np.ndarray) -> pa.RecordBatch:
     swap = (c["s1"][i] > c["s1"][j]) | ((c["s1"][i] == c["s1"][j]) & (c["s2"][i] > c["s2"][j]))
     a, b = np.where(swap, j, i), np.where(swap, i, j)
-    pairs = [pa.array(np.concatenate([x, np.zeros(len(dense_rows), np.int64)])) for x in (c["s1"][a], c["s2"][a], c["s1"][b], c["s2"][b])]
-    dense = pa.array(np.concatenate([np.zeros(len(a), bool), np.ones(len(dense_rows), bool)]))
-    rows = [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(c[k][dense_rows])]) for k in _NODE_ROW]
-    return pa.RecordBatch.from_arrays([*pairs, dense, *rows], ["a1", "a2", "b1", "b2", "dense", *_NODE_ROW])
+    pairs = [pa.array(np.concatenate([x, np.zeros(len(later_rows), np.int64)])) for x in (c["s1"][a], c["s2"][a], c["s1"][b], c["s2"][b])]
+    later = pa.array(np.concatenate([np.zeros(len(a), bool), np.ones(len(later_rows), bool)]))
+    rows = [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(c[k][later_rows])]) for k in _NODE_ROW]
+    return pa.RecordBatch.from_arrays([*pairs, later, *rows], ["a1", "a2", "b1", "b2", "later", *_NODE_ROW])
 
 
 def _first_pairs(percent: int):
-    """Passing pairs; of dense groups a pair or two for every node that has one, and the group's rows for the second look."""
+    """A passing pair or two for every node that has one, and the rows of groups with more pairs, for the second look."""
 
     def run(batches):
         for c in wh.whole_groups(batches, ["token", "cell"]):
             group, i, j = _passing(c, percent, False)
-            rows, pairs = np.bincount(group), np.bincount(group[i], minlength=group[-1] + 1)
-            dense = pairs > DENSE * rows
-            thin = dense[group[i]]
-            ti, tj = i[thin], j[thin]
-            _, back = np.unique(tj, return_index=True)
-            _, ahead = np.unique(ti, return_index=True)
+            _, back = np.unique(j, return_index=True)
+            _, ahead = np.unique(i, return_index=True)
             some = np.union1d(back, ahead)
-            yield _pair_batch(c, np.concatenate([i[~thin], ti[some]]), np.concatenate([j[~thin], tj[some]]), np.flatnonzero(dense[group]))
+            more = np.bincount(group[i], minlength=group[-1] + 1) > np.bincount(group[i[some]], minlength=group[-1] + 1)
+            yield _pair_batch(c, i[some], j[some], np.flatnonzero(more[group]))
 
     return run
 
@@ -244,31 +281,72 @@ def _other_pairs(percent: int):
     return run
 
 
-def _sets(n: int):
+def _id_bits(ids: np.ndarray) -> list[np.ndarray]:
+    h = wh.mix(ids.astype(np.uint64))
+    return [(h >> _U(64 - FILTER_BITS)).astype(np.int64), (h & _U((1 << FILTER_BITS) - 1)).astype(np.int64)]
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """2^FILTER_BITS bits (packed) of which those of every id are set."""
+
+    def mark(batches):
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for b in batches:
+            for at in _id_bits(b.column(0).to_numpy(zero_copy_only=False)):
+                bits[at] = True
+        blocks = np.packbits(bits).reshape(-1, SKETCH_BLOCK)
+        some = [i for i in range(len(blocks)) if blocks[i].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "cells"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        total = np.zeros(SKETCH_BLOCK, np.uint8)
+        for c in table.column("cells"):
+            total |= np.frombuffer(c.as_buffer(), np.uint8)
+        return pa.table({"block": table.column("block").slice(0, 1), "cells": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8).reshape(-1, SKETCH_BLOCK)
+    for r in ids.mapInArrow(mark, "block int, cells binary").groupBy("block").applyInArrow(merge, "block int, cells binary").collect():
+        out[r["block"]] = np.frombuffer(r["cells"], np.uint8)
+    return out.ravel()
+
+
+def _pass_filter(shared):
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for at in _id_bits(batch.column("doc_id").to_numpy(zero_copy_only=False)):
+                keep &= (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def _sets(n: int, percent: int, shared):
     def run(batches):
         for batch in batches:
-            for part in wh.slices(batch):
+            for part in wh.slices(batch, limit=SLICE_BYTES):
                 sets = document_sets(part, n)
-                yield pa.RecordBatch.from_arrays([part.column("s1"), part.column("s2"), pa.array([s.tobytes() for s in sets], pa.binary())], ["s1", "s2", "tokens"])
+                want = zip(part.column("s1").to_pylist(), part.column("s2").to_pylist(), strict=True)
+                own = [len(s) > 0 and _signature(s) == sign for s, sign in zip(sets, want, strict=True)]
+                keep = pa.array(own, pa.bool_())
+                sets = [s for s, o in zip(sets, own, strict=True) if o]
+                filters = pa.array([prefix_filters(s, shared.value, percent) for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("s1").filter(keep), part.column("s2").filter(keep), filters, pa.array([s.tobytes() for s in sets], pa.binary())], ["s1", "s2", "filters", "tokens"])
 
     return run
 
 
-def linked(a: np.ndarray, b: np.ndarray, frequency: np.ndarray, percent: int) -> bool:
-    """Filters of the other orders, then the exact test."""
-    for order in range(1, ORDERS):
-        if not np.isin(prefix(a, order, frequency, percent), prefix(b, order, frequency, percent)).any():
-            return False
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _verify(percent: int, shared):
+def _test_pairs(kind: str, test, names: list[str]):
     def run(batches):
         for batch in batches:
-            a, b = batch.column("a_tokens"), batch.column("b_tokens")
-            ok = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), shared.value, percent) for x, y in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
+            both = zip(batch.column("x"), batch.column("y"), strict=True)
+            ok = pa.array([test(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)) for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in names], names)
 
     return run
 
@@ -301,30 +379,50 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     wide.mapInArrow(_first_pairs(percent), _PAIR_TYPE).write.parquet(f"{folder}/pairs")
     found = spark.read.parquet(f"{folder}/pairs")
 
-    first = found.filter("NOT dense").select("a1", "a2", "b1", "b2").distinct()
+    ends = ["a1", "a2", "b1", "b2"]
+    pairs = found.filter("NOT later").select(*ends).distinct().checkpoint()
     ids = nodes.select("s1", "s2", "node")
-    active = first.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(first.select("b1", "b2")).distinct().join(ids, ["s1", "s2"])
-    # every signed document with a node's id may stand for it; equal ids with other texts are dropped by their signature
-    texts = named.join(active.select(F.col("node").alias("doc_id"), "s1", "s2"), "doc_id").select("s1", "s2", "text")
-    sets = texts.mapInArrow(_sets(n), "s1 long, s2 long, tokens binary").dropDuplicates(["s1", "s2"])
-    active.select("s1", "s2", "node").join(sets, ["s1", "s2"]).write.parquet(f"{folder}/sets")
+    active = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(pairs.select("b1", "b2")).distinct().join(ids, ["s1", "s2"]).checkpoint()
+    members = spark.sparkContext.broadcast(id_filter(active.select("node")))
+    some = named.mapInArrow(_pass_filter(members), "doc_id long, text string")
+    # any document with a node's id and signature stands for it
+    texts = some.join(active.select(F.col("node").alias("doc_id"), "s1", "s2"), "doc_id").select("s1", "s2", "text")
+    sets = texts.mapInArrow(_sets(n, percent, frequency), "s1 long, s2 long, filters binary, tokens binary").dropDuplicates(["s1", "s2"])
+    active.join(sets, ["s1", "s2"]).write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
-        b = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
-        both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
-        return both.select("a", "b", "a_tokens", "b_tokens").mapInArrow(_verify(percent, frequency), "a long, b long")
-
-    links = verified(first).checkpoint()
+    def tested(some: DataFrame, column: str, kind: str, test) -> DataFrame:
+        """The pairs whose two values of ``column`` pass ``test``."""
+        x = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col(column).alias("x"))
+        y = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col(column).alias("y"))
+        return some.join(x, ends[:2]).join(y, ends[2:]).mapInArrow(_test_pairs(kind, test, ends), "a1 long, a2 long, b1 long, b2 long")
+
+    def verified(some: DataFrame) -> DataFrame:
+        """Links (a, b) by node id: the filters of the other orders first, then the whole sets of what passes."""
+        good = tested(tested(some, "filters", "<u4", pass_filters), "tokens", "<u8", lambda x, y: linked(x, y, percent))
+        a = ids.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a"))
+        b = ids.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b"))
+        return good.join(a, ends[:2]).join(b, ends[2:]).select("a", "b")
+
+    # one pair per node first; the others only where the components differ
+    turned = pairs.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2"))
+    chosen = pairs.union(turned).groupBy("a1", "a2").agg(F.min(F.struct("b1", "b2")).alias("b")).select("a1", "a2", "b.b1", "b.b2")
+    small, large = F.least(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2"))), F.greatest(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2")))
+    chosen = chosen.select(small.alias("p"), large.alias("q")).select("p.a1", "p.a2", F.col("q.a1").alias("b1"), F.col("q.a2").alias("b2")).distinct().checkpoint()
+    links = verified(chosen).checkpoint()
     label = components(links)
-    dense = found.filter("dense").select(*_NODE_ROW)
-    if not dense.isEmpty():
-        label = ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
-        again = dense.join(label, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
-        more = again.select(*_NODE_ROW, "label").mapInArrow(_other_pairs(percent), "a1 long, a2 long, b1 long, b2 long").distinct()
-        links = links.union(verified(more.join(first, ["a1", "a2", "b1", "b2"], "left_anti"))).checkpoint()
-        label = components(links)
+
+    of_set = ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
+    la = of_set.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("label").alias("la"))
+    lb = of_set.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("label").alias("lb"))
+    rest = pairs.join(chosen, ends, "left_anti").join(la, ends[:2]).join(lb, ends[2:]).filter("la != lb").select(*ends)
+    later = found.filter("later").select(*_NODE_ROW)
+    again = later.join(of_set, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
+    more = again.select(*_NODE_ROW, "label").mapInArrow(_other_pairs(percent), "a1 long, a2 long, b1 long, b2 long")
+    rest = rest.union(more.join(chosen, ends, "left_anti")).distinct()
+    second = verified(rest).checkpoint()
+    if not second.isEmpty():
+        label = components(links.union(second))
 
     placed = every.join(ids, ["s1", "s2"], "left").join(label.withColumnRenamed("id", "node"), "node", "left")
     return placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
@@ -333,3 +431,19 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Contract query: 3-word shingles, similarity of 0.9 or more."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), n=3, percent=90)
+
+
+#: DuckDB twin of the contract query: all pairs that share a shingle, then reachability.
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT rid, doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT rid, doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM p),
+n AS (SELECT rid, doc_id, count(*) AS n FROM s GROUP BY rid, doc_id),
+c AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY 1, 2),
+l AS (SELECT nx.doc_id AS a, ny.doc_id AS b FROM c JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(id, m) AS (SELECT DISTINCT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM r JOIN e ON r.m = e.a),
+k AS (SELECT id, min(m) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (rid) LEFT JOIN k ON k.id = d.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankmill.llm import licenses, quality
+from rankmill.llm import licenses, ngram_join, quality, substring_dedup, warc
 from rankmill.llm.bpe import op2_bpe
 from rankmill.llm.decontaminate import op10_decontamination
 from rankmill.llm.langid import op3_language_id
@@ -28,6 +28,9 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": ngram_join.ORACLE_SQL,
+    "op4_substring_dedup": substring_dedup.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
+    "op8_warc": warc.ORACLE_SQL,
     "op9_license_scan": licenses.ORACLE_SQL,
 }

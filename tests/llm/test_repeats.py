@@ -164,9 +164,9 @@ def test_jaccard_components_equal_brute_force(spark, monkeypatch):
     texts += ["A b c", "a B c", "a b", "a b", "a", "", None, texts[0], texts[0]]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    for n, percent, block, dense in ((3, 90, 512, 4), (3, 90, 16, 0), (5, 80, 16, 1)):
+    for n, percent, block, bits in ((3, 90, 512, 24), (3, 90, 16, 19), (5, 80, 16, 24)):
         monkeypatch.setattr(ngram_join, "BLOCK", block)
-        monkeypatch.setattr(ngram_join, "DENSE", dense)
+        monkeypatch.setattr(ngram_join, "FILTER_BITS", bits)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, n, percent).collect()}
         assert got == brute_op1(rows, n, percent), (n, percent, block)
 
