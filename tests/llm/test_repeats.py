@@ -121,6 +121,45 @@ def test_suffix_dedup_equals_brute_force(spark):
     assert sorted((-1 if r.row.doc_id is None else r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_op5(rows, 20)
 
 
+class SeenWork(suffix_dedup.Work):
+    def table(self, df):
+        self.last = super().table(df)
+        return self.last
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small shuffles keep their partitions."""
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def test_counts_of_a_hot_key_spread_over_ranges(spark, many_ranges):
+    rng = random.Random(6)
+    for hot in (0.9, 1.0, 0.0):
+        rows = [(5, 5, t, i, rng.randrange(2)) if rng.random() < hot else (rng.randrange(9), rng.randrange(9), t, i, rng.randrange(2)) for t in range(60) for i in range(50)]
+        work = SeenWork(spark)
+        df = spark.createDataFrame(rows, "a long, b long, tid long, i long, cls long").repartition(3)
+        got = {(r.tid, r.i): (r.before0, r.before1, r.name) for r in suffix_dedup.counts_before(work, df, ["a", "b"], classes=2).collect()}
+        keys = sorted({r[:2] for r in rows})
+        less = {k: tuple(sum(r[:2] < k and r[4] == c for r in rows) for c in (0, 1)) for k in keys}
+        assert got == {(t, i): (*less[a, b], keys.index((a, b))) for a, b, t, i, _ in rows}
+        assert max(r["count"] for r in work.last.filter("tid IS NOT NULL").groupBy("range").count().collect()) < len(rows) / 2
+
+
+def test_suffix_dedup_of_hot_strings_over_many_ranges(spark, many_ranges):
+    rng = random.Random(7)
+    passage = "".join(rng.choice("xyz") for _ in range(40))
+    rows = [(i, "".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) + (passage if i % 3 else "r" * rng.randint(0, 60))) for i in range(60)]
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 20).collect()
+    assert sorted((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_op5(rows, 20)
+
+
 def test_suffix_dedup_of_nothing(no_docs):
     assert suffix_dedup.suffix_dedup(no_docs).collect() == []
 
