@@ -83,9 +83,11 @@ def _seed_rows(window: int, k: int):
                 rows = np.flatnonzero(long)
                 rows = rows[np.lexsort((ids[rows], whole2[rows], whole1[rows]))]
                 new = wh.group_starts(whole1[rows], whole2[rows])
-                _, least, _ = _several(new, ids[rows]) if len(rows) else (None, ids[rows], None)
+                same, least, _ = _several(new, ids[rows]) if len(rows) else (rows, ids[rows], None)
                 copy = rows[ids[rows] > least]
                 lead = rows[new]
+                text = np.arange(len(ids))  # the first row with the row's text
+                text[rows] = lead[same]
                 skip = np.zeros(len(ids), bool)
                 skip[copy] = True
                 yield _batch(_SEED_ARROW, _spread(ids[copy], copy), ids[copy], 4 * _copy_mark(whole2[copy]) + _KNOWN)
@@ -97,10 +99,11 @@ def _seed_rows(window: int, k: int):
                 g = wh.ngram_hashes(h, k)
                 at = wh.winnow(g, ok, window - k + 1)
                 at = wh.distinct_sorted(at[at >= 0])
-                doc, pos, key = ids[w.row[at]], w.position()[at], g[at]
-                order = np.lexsort((doc, key))
-                doc, pos, key = doc[order], pos[order], key[order]
-                once = wh.group_starts(key, doc) if len(key) else np.zeros(0, bool)  # _extend finds the repeats in a text again
+                doc, own, pos, key = ids[w.row[at]], text[w.row[at]], w.position()[at], g[at]
+                order = np.lexsort((own, doc, key))
+                doc, own, pos, key = doc[order], own[order], pos[order], key[order]
+                # _extend finds the repeats in a text again, but other texts under the id have places of their own
+                once = wh.group_starts(key, doc, own) if len(key) else np.zeros(0, bool)
                 doc, pos, key = doc[once], pos[once], key[once]
                 new = wh.group_starts(key)
                 _, _, many = _several(new, doc) if len(key) else (None, None, new)

@@ -83,6 +83,14 @@ def test_substring_dedup_tells_texts_under_one_id_apart(spark):
     assert got == [(1, 20, 0, a), (5, 20, 0, b), (5, 20, 20, "")]
 
 
+def test_substring_dedup_finds_a_passage_in_every_text_under_an_id(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(9))
+    rows = [(1, passage), (5, f"{a} {passage}"), (5, f"{b} {passage} {b}"), (5, f"{a} {passage}")]
+    got = op4(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 13)
+    assert got == sorted([(1, 20, 0, passage), (5, 50, 20, a), (5, 50, 20, a), (5, 38, 20, f"{b} {b}")])
+
+
 def test_op4_query_on_the_tables(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = [(i, n, r, hashlib.sha256(k.encode()).hexdigest()) for i, n, r, k in brute_op4([tuple(d) for d in docs], 13)]
