@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rankmill.llm import toxicity
 from rankmill.llm.bpe import encode_decode
-from rankmill.llm.decontaminate import decontaminate
+from rankmill.llm.decontaminate import decontaminate, is_contaminated
 from rankmill.llm.ngram_join import jaccard_components
 from rankmill.llm.substring_dedup import substring_dedup
 from rankmill.session import checkpoint_dir
@@ -58,7 +58,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 4 (operator 10): documents that hold a benchmark item go."""
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(F.size("contamination.items") == 0).select("row.*")
+    return found.filter(~is_contaminated()).select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

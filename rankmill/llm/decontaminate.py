@@ -15,7 +15,9 @@ that, seeds of both sides are dealt by hash and joined, and candidate pairs fetc
 text and item by id; seeds are distinct per document before that shuffle, and
 Spark splits skewed seeds, of which the benchmark side has few rows.
 
-Defined cases: null and empty texts, and items without words, match nothing;
+Defined cases: null and empty texts, and items without words, match nothing; an
+item with a null id counts like others, so its documents have a coverage above 0,
+but it is not in the list of ids;
 null ids stay null; rows that repeat an id are judged one by one on the broadcast
 path, and together on the other if their texts are equal too. Equal items are
 one. Other columns are kept in ``row``, whatever their names. Empty tables give
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankmill.llm import wordhash as wh
@@ -147,7 +149,7 @@ _FOUND = "contamination struct<items:array<bigint>,coverage:double>"
 
 
 def _found_column(n_rows: int, found: dict[int, list]) -> pa.Array:
-    items = [sorted(i for i, _ in found.get(r, [])) for r in range(n_rows)]
+    items = [sorted(i for i, _ in found.get(r, []) if i is not None) for r in range(n_rows)]
     best = [max((c for _, c in found.get(r, [])), default=0.0) for r in range(n_rows)]
     return pa.StructArray.from_arrays([pa.array(items, pa.list_(pa.int64())), pa.array(best, pa.float64())], ["items", "coverage"])
 
@@ -195,7 +197,7 @@ def _seed_rows(name: str, lengths: list[int], k: int | None):
 
 def _shuffle_path(rows: DataFrame, items: DataFrame, k: int, coverage: float) -> DataFrame:
     lengths = list(range(1, k + 1))
-    items = items.withColumn("__item", F.md5(F.concat_ws("|", F.col("item_id").cast("string"), "__text")))
+    items = items.withColumn("__item", F.md5(F.concat_ws("|", F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "__text")))
     rows = rows.withColumn("__doc", F.md5(F.concat(F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")), F.lit("|"), F.coalesce("__text", F.lit("")))))
     of_items = items.select("__item", "__text").mapInArrow(_seed_rows("__item", lengths, k), "seed long, n long, __item string")
     of_docs = rows.select("__doc", "__text").mapInArrow(_seed_rows("__doc", lengths, None), "seed long, n long, __doc string")
@@ -227,13 +229,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_
     items = items.filter("__text IS NOT NULL").distinct()
     words = items.agg(F.coalesce(F.sum(F.octet_length("__text") / 2 + 1), F.lit(0)).alias("n")).first()["n"]  # an upper bound
     if words <= max_broadcast_words:
-        bench = sorted((r["item_id"], r["__text"]) for r in items.filter("item_id IS NOT NULL").collect())
+        bench = sorted(((r["item_id"], r["__text"]) for r in items.collect()), key=lambda b: (b[0] is None, b[0] or 0, b[1]))
         return _broadcast_path(rows, bench, seed_words, coverage)
-    return _shuffle_path(rows, items.filter("item_id IS NOT NULL"), seed_words, coverage)
+    return _shuffle_path(rows, items, seed_words, coverage)
+
+
+def is_contaminated() -> Column:
+    """Some item was found, be its id null or not: what is found covers words."""
+    return F.col("contamination.coverage") > 0
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     """doc_id, contaminated, item_ids, coverage for every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("row.doc_id", (F.size("contamination.items") > 0).alias("contaminated"), F.col("contamination.items").alias("item_ids"), F.col("contamination.coverage").alias("coverage"))
+    return found.select("row.doc_id", is_contaminated().alias("contaminated"), F.col("contamination.items").alias("item_ids"), F.col("contamination.coverage").alias("coverage"))

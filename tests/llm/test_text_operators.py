@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -188,6 +189,20 @@ def test_decontamination_paths_agree_and_find_reordered_items(spark, edge_docs,
         assert decontaminate.decontaminate(docs, bench.limit(0), max_broadcast_words=bound).filter("size(contamination.items) > 0").count() == 0
 
 
+def test_items_without_an_id_contaminate(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"a b {item} c"), (2, "a b c d e f"), (3, f"{item} v0 v1 v2 v3 v4 v5 v6")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (4, "v0 v1 v2 v3 v4 v5 v6")], "item_id long, text string")
+    for bound in (decontaminate.MAX_BROADCAST_WORDS, 0):
+        got = decontaminate.decontaminate(docs, bench, max_broadcast_words=bound).collect()
+        assert sorted((r.row.doc_id, r.contamination["items"], r.contamination["coverage"]) for r in got) == [(1, [], 1.0), (2, [], 0.0), (3, [4], 1.0)], bound
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = decontaminate.op10_decontamination(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: False, 3: True}
+    assert [r.doc_id for r in corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_tiling_marks_longest_first():
     a = np.arange(1, 30, dtype=np.uint64)
     assert decontaminate.tile(np.concatenate([a[15:], a[:15]]), a, 5) == 29
