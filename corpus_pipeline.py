@@ -8,8 +8,9 @@ only ones that a stage reads or changes.
 
 Defined cases: rows with null ids are scored, tokenised and tested against the
 benchmark like others, and are no near duplicates or repeats of anything; rows
-that repeat an id with one text are one document from stage 2 on. An empty table
-passes through.
+that repeat an id with one text are one document from stage 2 on; different texts
+under one id are documents of their own, and a text stays or goes whatever the others
+under its id do. An empty table passes through.
 """
 
 from __future__ import annotations
@@ -39,9 +40,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 2 (operator 1): of documents linked by five-word shingles the one with the smallest id stays."""
-    groups = jaccard_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    known = docs.filter("doc_id IS NOT NULL").withColumn("__hash", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
+    texts = known.select("doc_id", "__hash")
+    several = texts.groupBy("doc_id").agg((F.min("__hash") != F.max("__hash")).alias("several")).filter("several")
+    if several.isEmpty():
+        stay = jaccard_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT).filter("doc_id = component_id")
+        kept = known.join(stay.select("doc_id").distinct(), "doc_id", "left_semi")
+    else:
+        # one vertex per id and text, numbered in the order of the ids; written, so that the numbers stay
+        path = f"{checkpoint_dir(spark)}/vertices-{uuid.uuid4().hex}"
+        order = texts.distinct().repartitionByRange("doc_id", "__hash").sortWithinPartitions("doc_id", "__hash")
+        order.withColumn("vertex", F.monotonically_increasing_id()).write.parquet(path)
+        vertices = spark.read.parquet(path)
+        numbered = known.select("doc_id", "__hash", "text").join(vertices, ["doc_id", "__hash"]).select(F.col("vertex").alias("doc_id"), "text")
+        stay = jaccard_components(numbered, NEAR_WORDS, NEAR_PERCENT).filter("doc_id = component_id").select(F.col("doc_id").alias("vertex")).distinct()
+        kept = known.join(vertices.join(stay, "vertex", "left_semi"), ["doc_id", "__hash"], "left_semi")
+    kept = kept.dropDuplicates(["doc_id", "__hash"]).drop("__hash")
     return kept.unionByName(docs.filter("doc_id IS NULL")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

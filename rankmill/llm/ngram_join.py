@@ -363,6 +363,12 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     every = spark.read.parquet(f"{folder}/documents")
     nodes = every.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), *[F.first(p).alias(p) for p in _P])
 
+    # ids that have several sets are one vertex: their nodes are linked with the id
+    lo, hi = F.min(F.struct("s1", "s2")).alias("lo"), F.max(F.struct("s1", "s2")).alias("hi")
+    mixed = every.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(lo, hi).filter("NOT (lo <=> hi)").select("doc_id")
+    same = every.join(mixed, "doc_id", "left_semi").join(nodes.select("s1", "s2", "node"), ["s1", "s2"]).select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    same = same.filter("a != b").distinct().checkpoint()
+
     rows = named.select("text").mapInArrow(_prefix_rows(n, percent, frequency), "token long, s1 long, s2 long")
     rows = rows.repartition("token").sortWithinPartitions("token", "s1", "s2").mapInArrow(_shared_tokens, "token long, at long, s1 long, s2 long")
     rows.write.parquet(f"{folder}/shared")
@@ -410,7 +416,7 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     small, large = F.least(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2"))), F.greatest(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2")))
     chosen = chosen.select(small.alias("p"), large.alias("q")).select("p.a1", "p.a2", F.col("q.a1").alias("b1"), F.col("q.a2").alias("b2")).distinct().checkpoint()
     links = verified(chosen).checkpoint()
-    label = components(links)
+    label = components(links.union(same))
 
     of_set = ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
     la = of_set.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("label").alias("la"))
@@ -422,10 +428,11 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     rest = rest.union(more.join(chosen, ends, "left_anti")).distinct()
     second = verified(rest).checkpoint()
     if not second.isEmpty():
-        label = components(links.union(second))
+        label = components(links.union(same).union(second))
 
-    placed = every.join(ids, ["s1", "s2"], "left").join(label.withColumnRenamed("id", "node"), "node", "left")
-    return placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
+    placed = every.join(ids, ["s1", "s2"], "left").withColumn("node", F.coalesce("node", "doc_id"))
+    placed = placed.join(label.withColumnRenamed("id", "node"), "node", "left")
+    return placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")).alias("component_id"))
 
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

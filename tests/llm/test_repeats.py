@@ -5,9 +5,11 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from harness import compare
 
 from rankmill.llm import ngram_join, substring_dedup, suffix_dedup, wordhash
 from rankmill.llm.components import components
@@ -227,6 +229,16 @@ def test_jaccard_edges(edge_docs, no_docs):
     assert ngram_join.jaccard_components(no_docs, 3, 90).collect() == []
 
 
+def test_jaccard_ids_with_several_texts_equal_sql(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a), (2, b), (5, a), (5, b), (6, c + " end"), (7, c), (7, ""), (8, d), (9, d), (9, "one"), (10, "two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    ok, message = compare(ngram_join.jaccard_components(df, 3, 90), con, ngram_join.ORACLE_SQL)
+    assert ok, message
+
+
 @pytest.mark.parametrize("edges", [[], [(i, i + 1) for i in range(40)], [(5, 3), (3, 9), (7, 8)]])
 def test_components(spark, edges):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -91,6 +91,14 @@ def test_pipeline_stages_take_effect(spark):
     assert last.filter(F.octet_length("ids") != 4 * F.col("n_tokens")).count() == 0
 
 
+def test_near_duplicates_judge_every_text_under_an_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a + " end"), (5, b), (5, b), (5, c), (7, c + " end"), (9, None), (9, ""), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF_SMALL).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, a), (5, b), (5, c), (9, None), (9, ""), (None, a)], key=repr)
+
+
 def test_pipeline_edges(spark, tmp_path, edge_docs, no_docs):
     for name, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(os.path.join(tmp_path, f"{name}.parquet"))
