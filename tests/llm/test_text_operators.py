@@ -69,6 +69,22 @@ def test_language_edges_and_switched_text(spark, edge_docs, no_docs):
     assert shares[field.langs.index("de")] > 0.3 and shares[field.langs.index("fr")] > 0.3
 
 
+def test_language_training_sees_whole_texts_and_rare_languages(spark):
+    rng = random.Random(12)
+    words = {x: [x + "".join(rng.choice(x + "aeiou") for _ in range(5)) for _ in range(40)] for x in "kmz"}
+    prose = lambda x, n: " ".join(rng.choice(words[x]) for _ in range(n))
+    header = prose("k", 700)  # more than TRAIN_CHARS
+    assert len(header) > langid.TRAIN_CHARS
+    hot = prose("k", 80)
+    rows = [(i, hot if i % 2 else prose("k", 80), "k") for i in range(3000)]
+    rows += [(5000 + i, f"{header} {prose('m', 3000)}", "m") for i in range(40)] + [(9000 + i, prose("z", 60), "z") for i in range(2)]
+    field = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), max_rows=60)
+    assert field.langs == ["k", "m", "z"]
+    probes = [(1, prose("m", 50), "m"), (2, prose("k", 50), "k"), (3, prose("z", 50), "z")]
+    got = langid.identify(spark.createDataFrame(probes, "doc_id long, text string, lang string"), field).collect()
+    assert all(r.language.lang == r.row.lang for r in got)
+
+
 def test_forward_backward_equals_enumeration():
     import itertools
 
