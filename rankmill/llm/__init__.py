@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and their registered queries.
+"""Training-data operators: thirteen corpus operators and their registered queries.
 
 Nothing else in the package imports this folder; ``queries.py`` holds the
 registered queries. ``wordhash.py`` is the shared numpy helper for word and

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from rankmill.llm import licenses, ngram_join, quality, substring_dedup, warc
+from rankmill.llm import divergence, licenses, ngram_join, quality, substring_dedup, url_filter, warc
 from rankmill.llm.bpe import op2_bpe
 from rankmill.llm.decontaminate import op10_decontamination
+from rankmill.llm.divergence import op12_source_divergence
 from rankmill.llm.langid import op3_language_id
 from rankmill.llm.licenses import op9_license_scan
 from rankmill.llm.ngram_join import op1_ngram_jaccard
@@ -12,7 +13,9 @@ from rankmill.llm.quality import op6_quality_rules
 from rankmill.llm.substring_dedup import op4_substring_dedup
 from rankmill.llm.suffix_dedup import op5_suffix_array_dedup
 from rankmill.llm.toxicity import op7_toxicity
+from rankmill.llm.url_filter import op11_url_filter
 from rankmill.llm.warc import op8_warc
+from rankmill.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_license_scan": op9_license_scan,
     "op10_decontamination": op10_decontamination,
+    "op11_url_filter": op11_url_filter,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
@@ -33,4 +39,6 @@ ORACLE: dict[str, str] = {
     "op6_quality_rules": quality.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
     "op9_license_scan": licenses.ORACLE_SQL,
+    "op11_url_filter": url_filter.ORACLE_SQL,
+    "op12_source_divergence": divergence.ORACLE_SQL,
 }
