@@ -18,9 +18,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankmill.operators.ranges import HOT_ROWS, key_ranges
+
 ACCURACY = 10000
-# A key's values are split into this many ranges per doubling of 1 + |value| for running counts.
-RANGES_PER_OCTAVE = 16
 
 
 def _inside(lo: float | None, hi: float | None) -> Column:
@@ -94,27 +94,28 @@ def exact_quantile(df: DataFrame, column: str, p: float, **kw) -> float | None:
     return exact_quantiles(df, column, [p], **kw)[0]
 
 
-def running_counts(hist: DataFrame, keys: list[str], value: str, count: str = "n") -> DataFrame:
+def running_counts(hist: DataFrame, keys: list[str], value: str, count: str = "n", max_values: int = HOT_ROWS) -> DataFrame:
     """``hist`` with ``cum`` (rows of the key up to and with this value) and ``tot`` (rows of the key).
 
-    ``hist`` has one row per (keys, value). A key's values are split at fixed steps
-    of their logarithm (no extra pass to find cuts), so that one hot key is walked
-    by many tasks; the ranges' totals give the counts before a range.
+    ``hist`` has one row per (keys, value). A key with more than ``max_values`` values is cut
+    into ranges at its own quantiles, however close its values lie, so that many tasks walk
+    it; the ranges' totals give the counts before a range. Null values have count 0.
     """
-    v = F.col(value).cast("double")
-    step = F.signum(v) * F.log2(F.lit(1.0) + F.abs(v)) * F.lit(float(RANGES_PER_OCTAVE))
-    hist = hist.withColumn("_range", F.floor(F.greatest(F.lit(-1e5), F.least(step, F.lit(1e5)))))
-    inner = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_in", F.sum(count).over(inner))
-    totals = hist.groupBy(*keys, "_range").agg(F.sum(count).alias("_n"))
     outer = Window.partitionBy(*keys)
+    cut = key_ranges(hist, keys, F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))), "_range", max_values)
+    if cut is None:
+        upto = outer.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return hist.withColumns({"cum": F.sum(count).over(upto), "tot": F.sum(count).over(outer)})
+    inner = Window.partitionBy(*keys, "_range").orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = cut.withColumn("_in", F.sum(count).over(inner))
+    totals = hist.groupBy(*keys, "_range").agg(F.sum(count).alias("_n"))
     upto = outer.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = totals.select(*keys, "_range", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(outer).alias("tot"))
-    out = hist.join(totals, [*keys, "_range"])  # null values have count 0, so their range does not matter
+    out = hist.join(totals, [*keys, "_range"])
     return out.withColumn("cum", F.col("_in") + F.col("_before")).drop("_range", "_in", "_before")
 
 
-def key_quantiles(df: DataFrame, key: str, column: str, probs, names) -> DataFrame:
+def key_quantiles(df: DataFrame, key: str, column: str, probs, names, max_values: int = HOT_ROWS) -> DataFrame:
     """Exact per-key quantiles from a (key, value) histogram: the running counts
     walk distinct values, not rows, and split a hot key by value range."""
     hist = (
@@ -122,7 +123,7 @@ def key_quantiles(df: DataFrame, key: str, column: str, probs, names) -> DataFra
         .groupBy(key, F.col(column).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    hist = running_counts(hist, [key], "v")
+    hist = running_counts(hist, [key], "v", max_values=max_values)
     start = F.col("cum") - F.col("n")
     aggs = []
     keep = None

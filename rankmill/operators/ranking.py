@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankmill.functions.columns import require
+from rankmill.operators.ranges import HOT_ROWS, hot_keys, join_null_safe, numbered, order_columns
 from rankmill.schema import BOOKING_COL, CLICK_COL, GROUP_COL, ITEM_COL, LABEL_COL
 
 # fixed values: relevance grades for booking / click / neither
@@ -33,20 +34,34 @@ def add_relevance(df: DataFrame, out: str = LABEL_COL) -> DataFrame:
     return df.withColumn(out, relevance_col())
 
 
+def _best_first(score: str, tiebreak) -> list[tuple[str, bool]]:
+    return [(score, True)] + [(c, False) for c in tiebreak]
+
+
 def _order(score: str, tiebreak) -> list[Column]:
-    return [F.col(score).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
+    return order_columns(_best_first(score, tiebreak))
 
 
-def rank_in_group(df: DataFrame, score: str, group: str = GROUP_COL, tiebreak=(ITEM_COL,), out: str = "rank") -> DataFrame:
-    """1-based position of each row in its group, best score first (O1)."""
-    w = Window.partitionBy(group).orderBy(*_order(score, tiebreak))
-    return df.withColumn(out, F.row_number().over(w))
+def rank_in_group(df: DataFrame, score: str, group: str = GROUP_COL, tiebreak=(ITEM_COL,), out: str = "rank", max_rows: int = HOT_ROWS) -> DataFrame:
+    """1-based position of each row in its group, best score first (O1).
+
+    A group with more than ``max_rows`` rows is ranked in two levels: inside ranges of
+    the score (ties: of the tie-break columns), then by the totals of the ranges.
+    """
+    ranked, ranges = numbered(df, group, _best_first(score, tiebreak), out, max_rows)
+    return ranked.drop(*ranges)
 
 
 def top_k(df: DataFrame, k: int, score: str, group: str = GROUP_COL, tiebreak=(ITEM_COL,), out: str = "rank") -> DataFrame:
     """The best ``k`` rows of each group with their position."""
-    ranked = rank_in_group(df, score, group, tiebreak, out)
-    return ranked.where(F.col(out) <= k)
+    w = Window.partitionBy(group).orderBy(*_order(score, tiebreak))
+    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+
+
+def range_count(df: DataFrame, rows_per_range: int = HOT_ROWS) -> int:
+    """Number of partitions for an ordered output of ``df``: one per ``rows_per_range`` rows, and
+    at least the cluster's parallelism. Given as a number, so that AQE does not join them."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_range))
 
 
 def submission(
@@ -55,26 +70,39 @@ def submission(
     group: str = GROUP_COL,
     item: str = ITEM_COL,
     tiebreak=(ITEM_COL,),
+    rows_per_range: int = HOT_ROWS,
 ) -> DataFrame:
     """Ranked list (M7): ``SearchId, PropertyId`` best first within each search.
 
     The order is materialised as a range partitioning on the search id and the
     score plus a sort inside partitions (O2), so written part files are globally
     ordered without a single-task global sort, and one hot search is spread over
-    several of them.
+    several of them. The number of ranges follows the measured row count.
     """
     ties = [F.col(f"_t{i}").asc_nulls_last() for i in range(len(tiebreak))]
+    rows = df.select(F.col(group).alias("SearchId"), F.col(item).alias("PropertyId"), F.col(score).alias("_s"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)])
     return (
-        df.select(F.col(group).alias("SearchId"), F.col(item).alias("PropertyId"), F.col(score).alias("_s"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)])
-        .repartitionByRange("SearchId", F.col("_s").desc_nulls_last(), *ties)
+        rows.repartitionByRange(range_count(df.select(group), rows_per_range), "SearchId", F.col("_s").desc_nulls_last(), *ties)
         .sortWithinPartitions("SearchId", F.col("_s").desc_nulls_last(), *ties)
         .select("SearchId", "PropertyId")
     )
 
 
-def sort_by_group(df: DataFrame, group: str = GROUP_COL) -> DataFrame:
-    """Rows clustered and ordered by group (O2)."""
-    return df.repartitionByRange(group).sortWithinPartitions(group)
+def sort_by_group(df: DataFrame, group: str = GROUP_COL, max_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows clustered and ordered by group (O2).
+
+    A group with more than ``max_rows`` rows is cut into slices by a hash of its rows,
+    which lie behind one another in consecutive partitions.
+    """
+    n = range_count(df.select(group), max_rows)
+    found = hot_keys(df.select(group), [group], max_rows)
+    if found is None:
+        return df.repartitionByRange(n, group).sortWithinPartitions(group)
+    slices = found[0].select(group, F.ceil(F.col("_n") / max_rows).alias("_slices"))
+    cut = join_null_safe(df, slices, [group], "left")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")])
+    cut = cut.withColumn("_slice", F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(F.pmod(row, F.col("_slices"))))
+    return cut.repartitionByRange(n, group, "_slice").sortWithinPartitions(group, "_slice").drop("_slices", "_slice")
 
 
 def gain(rel: Column) -> Column:

@@ -728,3 +728,4 @@ def q_b10(spark, sf):
 
 
 import rankmill.plans.registry_runs  # noqa: E402, F401  (registers the queries of splits, orders, gradients and run logs)
+import rankmill.plans.registry_io  # noqa: E402, F401  (registers those of files, column selection and models)

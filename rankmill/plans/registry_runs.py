@@ -66,14 +66,16 @@ def q_p07(spark, sf):
 
 @register(
     "t06_train_fitted_hotel_stats",
-    W + ", p AS (SELECT prop_id, avg(price_usd) AS a, median(CAST(prop_location_score2 AS DOUBLE)) AS m, COALESCE(stddev_samp(price_usd), 0.0) AS s "
-    "FROM impressions WHERE srch_id % 2 = 0 GROUP BY prop_id) SELECT t.srch_id, t.prop_id, t.position, CAST(a AS FLOAT) AS avg_price_usd_for_prop, "
+    _SPLIT_SQL.format(seed=42, round="ceil").replace("SELECT srch_id, r <=", ", side AS (SELECT srch_id, r <=")
+    + "), p AS (SELECT prop_id, avg(price_usd) AS a, median(CAST(prop_location_score2 AS DOUBLE)) AS m, COALESCE(stddev_samp(price_usd), 0.0) AS s "
+    "FROM impressions JOIN side USING (srch_id) WHERE NOT in_test GROUP BY prop_id) SELECT t.srch_id, t.prop_id, t.position, CAST(a AS FLOAT) AS avg_price_usd_for_prop, "
     "CAST(m AS FLOAT) AS median_prop_location_score2_for_prop, CAST(s AS FLOAT) AS stddev_price_usd_for_prop, CAST(t.price_usd - a AS FLOAT) AS price_deviation_from_prop_hist_avg "
-    "FROM impressions t LEFT JOIN p ON t.prop_id = p.prop_id WHERE t.srch_id % 2 = 1",
+    "FROM impressions t LEFT JOIN p ON t.prop_id = p.prop_id",
 )
 def q_t06(spark, sf):
+    """All impressions with the hotel statistics of the training searches."""
     df = impressions(spark, sf)
-    out = engineer_features(df.filter("srch_id % 2 = 1"), hotel_stats=prop_table(df.filter("srch_id % 2 = 0")))
+    out = engineer_features(df, hotel_stats=prop_table(SP.split_data(df, 0.2, 42)[0]))
     names = ["avg_price_usd_for_prop", "median_prop_location_score2_for_prop", "stddev_price_usd_for_prop", "price_deviation_from_prop_hist_avg"]
     return norm_df(out.select("srch_id", "prop_id", "position", *names), names)
 

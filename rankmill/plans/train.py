@@ -46,9 +46,10 @@ def prepare_features_and_target(df: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 def train_model(train: DataFrame, val: DataFrame, features: list[str], params: dict | None = None, on_round=None) -> tuple[LambdaMARTModel, dict]:
-    """Fit and report (M5): model plus duration, parameters, best NDCG@5."""
+    """Fit and report (M5): model plus duration, parameters, best NDCG@5. The
+    categorical candidates among the features (P2) are split by sets of values."""
     ranker = LambdaMART(**(params or {}))
-    model = ranker.fit(train, features, val, on_round=on_round)
+    model = ranker.fit(train, features, val, on_round=on_round, categorical=categorical_columns(features))
     info = {
         "parameters_used": model.params,
         "training_duration_seconds": f"{model.training_seconds:.2f}",
@@ -134,7 +135,7 @@ def run(
         "configuration": {"nrows_loaded_train": nrows_train, "nrows_loaded_test": nrows_test},
         "data_summary": summary,
         "preprocessing_details": {"imputation_values_from_train": clean},
-        "features_used": {"all_feature_names": feats, "categorical_feature_names": categorical_columns(feats)},
+        "features_used": {"all_feature_names": feats, "categorical_feature_names": model.categorical},
         "model_training_results": {k: info[k] for k in ("parameters_used", "training_duration_seconds", "validation_ndcg_at_5")},
         "feature_importances_gain": dict(model.feature_importances()) or "Not available",
     }

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # concurrent jobs of one session (the trials of a search) share the executors fairly
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -16,7 +16,8 @@ from rankmill.operators import binning as B
 from rankmill.operators import profile as P
 from rankmill.operators import stats as ST
 from rankmill.operators.groupstats import key_average_rank, key_medians
-from rankmill.operators.quantiles import exact_quantiles, key_quantiles, order_statistics
+from rankmill.operators.quantiles import exact_quantiles, key_quantiles, order_statistics, running_counts
+from rankmill.operators.ranges import key_ranges
 from rankmill.operators.ranker import LambdaMART, LambdaMARTModel, Tree, forest_scorer
 from rankmill.operators.ranking import mean_ndcg, submission
 from rankmill.schema import impression_schema
@@ -65,9 +66,23 @@ def test_hot_key_statistics_are_split_and_exact(spark):
     ranks = {(r.k, r.x): r.r for r in key_average_rank(df, "k", "x", "r").collect()}
     pdf["r"] = pdf.groupby("k")["x"].rank()
     assert all(ranks[k, x] == r for k, x, r in pdf.itertuples(index=False))
-    # the window that walks values is dealt by key and value range, never by key alone
-    plan = key_average_rank(df, "k", "x", "r")._jdf.queryExecution().optimizedPlan().toString()
+    # a key with more values than one window may walk is cut into ranges, with the same results
+    plan = key_average_rank(df, "k", "x", "r", max_values=100)._jdf.queryExecution().optimizedPlan().toString()
     assert "_range" in plan
+    assert {(r.k, r.x): r.r for r in key_average_rank(df, "k", "x", "r", max_values=100).collect()} == ranks
+    assert {r.k: r.m for r in key_medians(df, "k", ["x"], ["m"], max_values=100).collect()} == med
+    assert {r.k: (r.a, r.b) for r in key_quantiles(df, "k", "x", [0.25, 0.9], ["a", "b"], max_values=100).collect()} == q
+
+
+def test_close_values_of_a_hot_key_spread(spark):
+    """Prices between 100.00 and 104.00 are cut at the key's own quantiles."""
+    df = spark.range(4000).select(F.lit(1).alias("k"), (100 + F.col("id") / 1000).alias("x"), F.lit(1).cast("long").alias("n"))
+    df = df.union(spark.range(30).select(F.col("id") + 2, F.lit(5.0), F.lit(1).cast("long")))
+    cut = key_ranges(df, ["k"], F.col("x"), "r", 250)
+    sizes = [r["count"] for r in cut.filter("k = 1").groupBy("r").count().collect()]
+    assert len(sizes) >= 16 and max(sizes) <= 500 and cut.filter("k > 1 AND r != 0").count() == 0
+    walked = running_counts(df, ["k"], "x", max_values=250).filter("k = 1").orderBy("x").collect()
+    assert [r.cum for r in walked] == list(range(1, 4001)) and {r.tot for r in walked} == {4000}
 
 
 def test_chi_squared_with_an_empty_cell(spark):
@@ -135,10 +150,35 @@ def test_loader_nan_limits_missing_and_empty(spark, tmp_path):
     assert sorted(r.prop_id for r in load_impressions(spark, path, limit_rows=7).collect()) == list(range(7))
     with pytest.raises(AnalysisException):
         load_impressions(spark, str(tmp_path / "absent.csv")).count()
+    with pytest.raises(AnalysisException):
+        load_impressions(spark, str(tmp_path / "absent.csv"), limit_rows=3)
     with pytest.raises(EmptyInputError):
         ensure_not_empty(load_impressions(spark, _csv(tmp_path / "b.csv", 0)))
 
 
+def test_first_rows_by_position(spark, tmp_path):
+    """The limit falls into, between and behind files and blocks; no task sorts or holds the rows."""
+    (tmp_path / "many files").mkdir()
+    sizes = {"b 1.csv": 700, "a%20.csv": 50, "c.csv": 0, "d.csv": 300}
+    order = []
+    for name in sorted(sizes):
+        _csv(tmp_path / "many files" / name, sizes[name])
+        order += [(name, i) for i in range(sizes[name])]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        path = str(tmp_path / "many files")
+        for n in (0, 1, 49, 50, 51, 333, 749, 750, 751, 1049, 1050, 5000):
+            got = load_impressions(spark, path, limit_rows=n)
+            rows = got.select(F.col("prop_id")).collect()
+            assert sorted(r.prop_id for r in rows) == sorted(i for _, i in order[:n]), n
+        plan = load_impressions(spark, path, limit_rows=333)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in text for x in ("Sort", "Limit", "TakeOrdered", "Exchange")) and plan.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def _frame(spark, searches=120, per=8):
     return spark.range(searches * per).select(
         (F.col("id") / per).cast("long").alias("srch_id"), (F.col("id") % 7).alias("prop_id"), F.round(F.rand(1) * 3).alias("good"), F.rand(2).alias("noise"),
@@ -216,6 +256,26 @@ def test_train_only_run_and_tuning(spark, tmp_path):
     assert [t.status for t in trials] == ["complete"] and set(json.load(open(best))) == set(SPACE)
 
 
+def test_trials_on_bad_data_are_pruned(spark, tmp_path):
+    from rankmill.plans.tuning import tune
+    from rankmill.sources.bridge import impressions
+
+    good = impressions(spark, "/root/testdata/sf0.001").filter("srch_id % 8 = 0").persist()
+    raws = {0: good, 1: good.drop("click_bool"), 2: good.limit(0), 4: good}
+
+    def log(trial):
+        return raws[trial] if trial in raws else load_impressions(spark, str(tmp_path / "absent.csv"))
+
+    best = str(tmp_path / "best.json")
+    got = {r.trial: r for r in tune(log, 5, out_path=best, fixed={"n_estimators": 1, "num_leaves": 2}, parallel=3, spark=spark).collect()}
+    assert {t: r.status for t, r in got.items()} == {0: "complete", 1: "pruned", 2: "pruned", 3: "pruned", 4: "complete"}
+    assert all((r.reason is None) == (r.status == "complete") and (r.ndcg_at_5 > 0) == (r.status == "complete") for r in got.values())
+    assert "Columns" in got[1].reason and "EmptyInputError" in got[2].reason
+    none = tune(good.limit(0), 2, out_path=str(tmp_path / "none.json"), fixed={"n_estimators": 1})
+    assert {r.status for r in none.collect()} == {"pruned"} and not os.path.exists(tmp_path / "none.json")
+    good.unpersist()
+
+
 def test_checkpoints_need_a_shared_folder_on_a_cluster():
     from rankmill.session import checkpoint_dir
 
@@ -253,11 +313,28 @@ def test_feature_plan_scans_and_exchanges(spark, tmp_path):
 
     path = str(tmp_path / "log.parquet")
     impressions(spark, "/root/testdata/sf0.001").write.parquet(path)
-    plan = engineer_features(spark.read.parquet(path))._jdf.queryExecution()
-    # statistics and medians of hotels and of searches, price ranks, and the rows; the three histograms stand twice in
-    # the logical plan (running counts and range totals) and run once, as both read one exchange
-    assert plan.optimizedPlan().toString().count("Relation [") <= 9
-    assert plan.executedPlan().toString().count("CartesianProduct") == 0
+    for profile in ("default", "full"):
+        plan = engineer_features(spark.read.parquet(path), profile)._jdf.queryExecution()
+        # one scan for the hotel table, one for the rows
+        assert plan.optimizedPlan().toString().count("Relation [") == 2
+        text = plan.executedPlan().toString()
+        # the hotel table's aggregate, at most both sides of its join, and the rows by search
+        assert text.count("Exchange hashpartitioning") <= 3 and "CartesianProduct" not in text
+
+
+@pytest.mark.parametrize("profile", ["default", "full"])
+def test_features_of_hot_searches_and_hotels(spark, profile):
+    """Searches and hotels above the row limit take the other path and get the same features."""
+    from rankmill.operators.features import engineer_features
+    from rankmill.sources.bridge import impressions
+
+    df = impressions(spark, "/root/testdata/sf0.001")
+    df = df.withColumn("srch_id", F.when(F.col("srch_id") % 3 == 0, 3).when(F.col("srch_id") % 50 == 1, None).otherwise(F.col("srch_id")))
+    df = df.withColumn("prop_id", F.when(F.col("prop_id") % 3 == 0, 3).when(F.col("prop_id") % 50 == 1, None).otherwise(F.col("prop_id"))).persist()
+    whole, cut = (engineer_features(df, profile, max_rows=n).toPandas().sort_values(list(df.columns), ignore_index=True) for n in (10**9, 100))
+    assert list(whole.columns) == list(cut.columns)
+    pd.testing.assert_frame_equal(whole, cut, check_dtype=False, rtol=1e-9)
+    df.unpersist()
 
 
 def test_hotel_statistics_of_training_rows(spark):
