@@ -36,6 +36,7 @@ from rankmill.session import checkpoint_dir
 MAX_ARCHIVE_BYTES = 64 << 20
 SPLIT_BYTES = 8 << 20
 READ_BLOCK = 1 << 18
+RANGES_PER_TASK = 16
 GZIP_LEVEL = 3
 # Fixed values of the format.
 MAGIC = b"\x1f\x8b\x08"
@@ -199,6 +200,13 @@ def records_in_range(source, size: int, start: int, end: int):
         yield decode_record(raw)
 
 
+def read_tasks(manifest: DataFrame, split_bytes: int) -> int:
+    """Tasks for the byte ranges of the listed archives: one per range, and for very many one per ``RANGES_PER_TASK``."""
+    ranges = manifest.agg(F.sum(F.ceil(F.col("n_bytes") / split_bytes))).first()[0] or 0
+    few = 8 * manifest.sparkSession.sparkContext.defaultParallelism
+    return int(max(1, min(ranges, max(few, ranges // RANGES_PER_TASK))))
+
+
 def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Records of all listed archives, read by byte ranges of ``split_bytes``."""
     ranges = manifest.filter("n_bytes > 0").select("path", "n_bytes", F.explode(F.expr(f"sequence(0L, n_bytes - 1, {int(split_bytes)}L)")).alias("start"))
@@ -221,7 +229,8 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), kinds, strict=True)], schema=schema)
 
-    return ranges.repartition("path", "start").mapInArrow(run, _RECORD)
+    # rows of a range are small and its work is not: the number of tasks follows the ranges
+    return ranges.repartition(read_tasks(manifest, split_bytes), "path", "start").mapInArrow(run, _RECORD)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:

@@ -45,6 +45,15 @@ def test_every_page_comes_back(spark, tmp_path, split):
     assert sorted(bytes(r.payload) for r in full.collect()) == sorted((h or "").encode() for _, _, h in pages)
 
 
+def test_reading_tasks_grow_with_the_archives(spark):
+    def manifest(sizes):
+        return spark.createDataFrame([(f"a{i}", n, 1) for i, n in enumerate(sizes)], "path string, n_bytes long, n_records long")
+
+    few = 8 * spark.sparkContext.defaultParallelism
+    assert [warc.read_tasks(manifest(s), 1000) for s in ([0], [10], [2500, 1000], [10**6] * 20)] == [1, 1, 4, max(few, 20_000 // warc.RANGES_PER_TASK)]
+    assert warc.read_warc(manifest([10_000]), 1000).rdd.getNumPartitions() == 10
+
+
 def test_short_payloads_are_all_responses(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "xx"), (2, "b", "xx"), (3, "c", "y" * 50), (4, "d", "y" * 50)], "page_id long, url string, html string")
     got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_warc(warc.write_warc(df, folder(tmp_path), min_revisit_bytes=10)).collect()}
