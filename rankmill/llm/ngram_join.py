@@ -18,10 +18,11 @@ they differ and their filters are nearly independent.
    l - 1 tokens and so share l in every link; of what passes, the whole sets are
    compared.
 4. Of a group's pairs, one or two per node are checked first. When the components
-   of those links are known, the remaining pairs of groups that have more are
-   checked unless both ends are already in one component. So a family of near
-   copies is not written out as all its pairs, yet no link between components is
-   lost.
+   of those links are known, groups that have more pairs are looked at again, with
+   bitmaps as wide as their sets need: one pair for every two components that a
+   group could join, and, when those are known, every pair that still lies between
+   components. So a family of near copies is not written out as all its pairs, yet
+   no link between components is lost.
 
 Sets are made again from the texts of the nodes that are in some pair; a filter of
 fixed size over their ids keeps other texts out of that shuffle. Where it is too
@@ -50,13 +51,15 @@ ORDERS = 3
 SKETCH_BITS = 21
 SKETCH_BLOCK = 1 << 16
 PARITY_BITS = 512
+WIDE = 16
+LOOKS = 3
 BLOCK = 512
 SLICE_BYTES = 1 << 20  # texts hashed at a time: bounds the memory of a task
 FILTER_BITS = 24
 
 _U = np.uint64
 _SALTS = [_U(0x243F6A8885A308D3), _U(0x13198A2E03707344), _U(0xA4093822299F31D0), _U(0x082EFA98EC4E6C89)]
-_PARITY_SALT, _SIGN_SALT, _SKETCH_SALT = _U(0x452821E638D01377), _U(0xBE5466CF34E90C6C), _U(0xC0AC29B7C97C50DD)
+_PARITY_SALT, _SIGN_SALT, _SKETCH_SALT, _WIDE_SALT = _U(0x452821E638D01377), _U(0xBE5466CF34E90C6C), _U(0xC0AC29B7C97C50DD), _U(0x3F84D5B5B5470917)
 _WORDS = PARITY_BITS // 64
 _P = [f"p{i}" for i in range(_WORDS)]
 _P_TYPE = ", ".join(f"{p} long" for p in _P)
@@ -137,6 +140,17 @@ def _parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def wide_parity(tokens: np.ndarray, percent: int) -> bytes | None:
+    """A parity bitmap of ``WIDE`` bits and more for every token by which a link of this size may
+    differ, so that it still tells large sets apart; null where the short bitmap is as wide."""
+    n = len(tokens)
+    bits = 1 << (WIDE * 2 * (n - -(-percent * 2 * n // (100 + percent)))).bit_length()
+    if bits <= PARITY_BITS:
+        return None
+    at = wh.mix(tokens ^ _WIDE_SALT) & _U(bits - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
 def token_frequency(docs: DataFrame, n: int) -> np.ndarray:
     """Frequency class (bits of the count) of every sketch cell, over all documents; fixed size 2^SKETCH_BITS bytes."""
 
@@ -165,7 +179,7 @@ def token_frequency(docs: DataFrame, n: int) -> np.ndarray:
     return out.ravel()
 
 
-def _nodes(n: int):
+def _nodes(n: int, percent: int):
     def run(batches):
         for batch in batches:
             for part in wh.slices(batch, limit=SLICE_BYTES):
@@ -173,7 +187,8 @@ def _nodes(n: int):
                 signs = [_signature(s) if len(s) else (None, None) for s in sets]
                 parity = np.array([_parity(s) for s in sets]).reshape(-1, _WORDS)
                 cols = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s[0] for s in signs], pa.int64()), pa.array([s[1] for s in signs], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(parity[:, i]) for i in range(_WORDS))], ["doc_id", "n_shingles", "s1", "s2", *_P])
+                wide = pa.array([wide_parity(s, percent) for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(parity[:, i]) for i in range(_WORDS)), wide], ["doc_id", "n_shingles", "s1", "s2", *_P, "wide"])
 
     return run
 
@@ -211,6 +226,34 @@ def _shared_tokens(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (token, at, s1, s2)], ["token", "at", "s1", "s2"])
 
 
+class _WideParity:
+    """Bits in which wide bitmaps of a stream's rows differ; the longer of two is folded to the shorter."""
+
+    def __init__(self, blobs: np.ndarray):
+        size = np.array([len(b) if b is not None else 0 for b in blobs])
+        self.size, self.tables, self.place = size, {}, {}
+        for m in np.unique(size[size > 0]).tolist():
+            rows = np.flatnonzero((size == m) | (size == 2 * m))  # linked sets are nearly of one size
+            table = np.zeros((len(rows), m), np.uint8)
+            for k, r in enumerate(rows.tolist()):
+                b = np.frombuffer(blobs[r], np.uint8)
+                table[k] = b if len(b) == m else b[:m] ^ b[m:]
+            self.place[m] = np.full(len(size), -1)
+            self.place[m][rows] = np.arange(len(rows))
+            self.tables[m] = table.view(np.uint64)
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """A lower bound of the tokens in which the sets of rows i and j differ (0 without a bitmap)."""
+        out = np.zeros(len(i), np.int64)
+        least, most = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+        for m in np.unique(least[(least > 0) & (most <= 2 * least)]).tolist():
+            at = np.flatnonzero((least == m) & (most <= 2 * m))
+            for lo in range(0, len(at), 4096):
+                k = at[lo : lo + 4096]
+                out[k] = np.bitwise_count(self.tables[m][self.place[m][i[k]]] ^ self.tables[m][self.place[m][j[k]]]).sum(1)
+        return out
+
+
 def _passing(c: dict[str, np.ndarray], percent: int, labels: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group of every row, first rows, second rows) of the pairs that pass length and parity filters.
 
@@ -219,6 +262,7 @@ def _passing(c: dict[str, np.ndarray], percent: int, labels: bool) -> tuple[np.n
     """
     new = wh.group_starts(c["token"], c["cell"])
     group = np.cumsum(new) - 1
+    wide = _WideParity(c["wide"]) if "wide" in c else None
     bits = np.stack([c[p] for p in _P], 1).view(np.uint64)
     size, block = c["n_shingles"], c["block"]
     cross = c["cell"] >= 0  # two different blocks; else one block
@@ -238,6 +282,8 @@ def _passing(c: dict[str, np.ndarray], percent: int, labels: bool) -> tuple[np.n
         both = size[i] + size[j]
         allowed = both - 2 * (-(-percent * both // (100 + percent)))
         ok = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= allowed
+        if wide is not None:
+            ok[ok] = wide.differ(i[ok], j[ok]) <= allowed[ok]
         left.append(i[ok])
         right.append(j[ok])
     none = np.zeros(0, np.int64)
@@ -272,10 +318,16 @@ def _first_pairs(percent: int):
     return run
 
 
-def _other_pairs(percent: int):
+def _other_pairs(percent: int, every: bool):
+    """Passing pairs of different components: one per pair of components and group, or all of them."""
+
     def run(batches):
         for c in wh.whole_groups(batches, ["token", "cell"]):
-            _, i, j = _passing(c, percent, True)
+            group, i, j = _passing(c, percent, True)
+            if not every and len(i):
+                x, y = c["label"][i], c["label"][j]
+                _, first = np.unique(np.stack([group[i], np.minimum(x, y), np.maximum(x, y)]), axis=1, return_index=True)
+                i, j = i[first], j[first]
             yield _pair_batch(c, i, j, np.zeros(0, np.int64)).select(["a1", "a2", "b1", "b2"])
 
     return run
@@ -359,7 +411,7 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL AND text != ''")
     frequency = spark.sparkContext.broadcast(token_frequency(named.select("text"), n))
 
-    docs.mapInArrow(_nodes(n), f"doc_id long, n_shingles long, s1 long, s2 long, {_P_TYPE}").write.parquet(f"{folder}/documents")
+    docs.mapInArrow(_nodes(n, percent), f"doc_id long, n_shingles long, s1 long, s2 long, {_P_TYPE}, wide binary").write.parquet(f"{folder}/documents")
     every = spark.read.parquet(f"{folder}/documents")
     nodes = every.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), *[F.first(p).alias(p) for p in _P])
 
@@ -418,17 +470,31 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     links = verified(chosen).checkpoint()
     label = components(links.union(same))
 
-    of_set = ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
+    def labelled() -> DataFrame:
+        return ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
+
+    of_set = labelled()
     la = of_set.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("label").alias("la"))
     lb = of_set.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("label").alias("lb"))
     rest = pairs.join(chosen, ends, "left_anti").join(la, ends[:2]).join(lb, ends[2:]).filter("la != lb").select(*ends)
-    later = found.filter("later").select(*_NODE_ROW)
-    again = later.join(of_set, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
-    more = again.select(*_NODE_ROW, "label").mapInArrow(_other_pairs(percent), "a1 long, a2 long, b1 long, b2 long")
-    rest = rest.union(more.join(chosen, ends, "left_anti")).distinct()
-    second = verified(rest).checkpoint()
-    if not second.isEmpty():
-        label = components(links.union(same).union(second))
+    # the groups with more pairs: a pair of nodes that could join two components each, as long as
+    # components join; then whatever passes between those that are left
+    wide = every.filter("wide IS NOT NULL").groupBy("s1", "s2").agg(F.first("wide").alias("wide"))
+    later = found.filter("later").select(*_NODE_ROW).join(wide, ["s1", "s2"], "left")
+    later = later.repartition("token", "cell").sortWithinPartitions("token", "cell", "block").select(*_NODE_ROW, "wide")
+    later.write.parquet(f"{folder}/later")
+    later, tried = spark.read.parquet(f"{folder}/later"), chosen
+    for look in range(LOOKS):
+        again = later.join(of_set, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
+        more = again.select(*_NODE_ROW, "wide", "label").mapInArrow(_other_pairs(percent, look == LOOKS - 1), "a1 long, a2 long, b1 long, b2 long")
+        more = (more.union(rest) if look == 0 else more).distinct().join(tried, ends, "left_anti").checkpoint()
+        if not more.isEmpty():
+            tried = tried.union(more)
+            second = verified(more).checkpoint()
+            if not second.isEmpty():
+                links = links.union(second)
+                label = components(links.union(same))
+                of_set = labelled()
 
     placed = every.join(ids, ["s1", "s2"], "left").withColumn("node", F.coalesce("node", "doc_id"))
     placed = placed.join(label.withColumnRenamed("id", "node"), "node", "left")
