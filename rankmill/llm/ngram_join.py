@@ -52,7 +52,7 @@ SKETCH_BITS = 21
 SKETCH_BLOCK = 1 << 16
 PARITY_BITS = 512
 WIDE = 16
-LOOKS = 3
+LOOKS = 2
 BLOCK = 512
 SLICE_BYTES = 1 << 20  # texts hashed at a time: bounds the memory of a task
 FILTER_BITS = 24
@@ -414,6 +414,8 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     docs.mapInArrow(_nodes(n, percent), f"doc_id long, n_shingles long, s1 long, s2 long, {_P_TYPE}, wide binary").write.parquet(f"{folder}/documents")
     every = spark.read.parquet(f"{folder}/documents")
     nodes = every.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), *[F.first(p).alias(p) for p in _P])
+    nodes.write.parquet(f"{folder}/nodes")  # many joins below read it
+    nodes = spark.read.parquet(f"{folder}/nodes")
 
     # ids that have several sets are one vertex: their nodes are linked with the id
     lo, hi = F.min(F.struct("s1", "s2")).alias("lo"), F.max(F.struct("s1", "s2")).alias("hi")
