@@ -20,10 +20,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a != b").distinct().checkpoint()
     labels = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("label")).checkpoint()
     for _ in range(max_rounds):
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels["id"] == near["a"]).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(labels.hint("merge"), both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
+        step = labels.join(near.hint("merge"), labels["id"] == near["a"]).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         to = labels.select(F.col("id").alias("to_id"), F.col("label").alias("to_label"))
-        step = step.join(to, step["label"] == to["to_id"], "left")
+        step = step.join(to.hint("merge"), step["label"] == to["to_id"], "left")
         step = step.select("id", "old", F.least("label", F.coalesce("to_label", "label")).alias("label")).checkpoint()
         changed = step.filter("label != old").count()
         labels = step.select("id", "label")

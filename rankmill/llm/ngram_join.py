@@ -441,7 +441,8 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     ends = ["a1", "a2", "b1", "b2"]
     pairs = found.filter("NOT later").select(*ends).distinct().checkpoint()
-    ids = nodes.select("s1", "s2", "node")
+    # tables that grow with the corpus are merged, or the driver would hold a copy of each for a broadcast
+    ids = nodes.select("s1", "s2", "node").hint("merge")
     active = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(pairs.select("b1", "b2")).distinct().join(ids, ["s1", "s2"]).checkpoint()
     members = spark.sparkContext.broadcast(id_filter(active.select("node")))
     some = named.mapInArrow(_pass_filter(members), "doc_id long, text string")
@@ -453,15 +454,15 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def tested(some: DataFrame, column: str, kind: str, test) -> DataFrame:
         """The pairs whose two values of ``column`` pass ``test``."""
-        x = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col(column).alias("x"))
-        y = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col(column).alias("y"))
+        x = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col(column).alias("x")).hint("merge")
+        y = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col(column).alias("y")).hint("merge")
         return some.join(x, ends[:2]).join(y, ends[2:]).mapInArrow(_test_pairs(kind, test, ends), "a1 long, a2 long, b1 long, b2 long")
 
     def verified(some: DataFrame) -> DataFrame:
         """Links (a, b) by node id: the filters of the other orders first, then the whole sets of what passes."""
         good = tested(tested(some, "filters", "<u4", pass_filters), "tokens", "<u8", lambda x, y: linked(x, y, percent))
-        a = ids.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a"))
-        b = ids.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b"))
+        a = ids.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a")).hint("merge")
+        b = ids.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b")).hint("merge")
         return good.join(a, ends[:2]).join(b, ends[2:]).select("a", "b")
 
     # one pair per node first; the others only where the components differ
@@ -473,15 +474,15 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     label = components(links.union(same))
 
     def labelled() -> DataFrame:
-        return ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
+        return ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label")).hint("merge")
 
     of_set = labelled()
-    la = of_set.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("label").alias("la"))
-    lb = of_set.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("label").alias("lb"))
-    rest = pairs.join(chosen, ends, "left_anti").join(la, ends[:2]).join(lb, ends[2:]).filter("la != lb").select(*ends)
+    la = of_set.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("label").alias("la")).hint("merge")
+    lb = of_set.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("label").alias("lb")).hint("merge")
+    rest = pairs.join(chosen.hint("merge"), ends, "left_anti").join(la, ends[:2]).join(lb, ends[2:]).filter("la != lb").select(*ends)
     # the groups with more pairs: a pair of nodes that could join two components each, as long as
     # components join; then whatever passes between those that are left
-    wide = every.filter("wide IS NOT NULL").groupBy("s1", "s2").agg(F.first("wide").alias("wide"))
+    wide = every.filter("wide IS NOT NULL").groupBy("s1", "s2").agg(F.first("wide").alias("wide")).hint("merge")
     later = found.filter("later").select(*_NODE_ROW).join(wide, ["s1", "s2"], "left")
     later = later.repartition("token", "cell").sortWithinPartitions("token", "cell", "block").select(*_NODE_ROW, "wide")
     later.write.parquet(f"{folder}/later")
@@ -489,7 +490,7 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     for look in range(LOOKS):
         again = later.join(of_set, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
         more = again.select(*_NODE_ROW, "wide", "label").mapInArrow(_other_pairs(percent, look == LOOKS - 1), "a1 long, a2 long, b1 long, b2 long")
-        more = (more.union(rest) if look == 0 else more).distinct().join(tried, ends, "left_anti").checkpoint()
+        more = (more.union(rest) if look == 0 else more).distinct().join(tried.hint("merge"), ends, "left_anti").checkpoint()
         if not more.isEmpty():
             tried = tried.union(more)
             second = verified(more).checkpoint()
