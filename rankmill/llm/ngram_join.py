@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmill.llm import wordhash as wh
-from rankmill.llm.components import components
+from rankmill.llm.components import components, written
 from rankmill.session import checkpoint_dir
 
 ORDERS = 3
@@ -403,6 +403,16 @@ def _test_pairs(kind: str, test, names: list[str]):
     return run
 
 
+def joined_components(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (id, component) after more links (a, b): a graph of the components that they touch is enough."""
+    of_a, of_b = (label.select(F.col("id").alias(e), F.col("component").alias(f"of_{e}")).hint("merge") for e in "ab")
+    edges = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    moved = components(edges)
+    to = moved.select(F.col("id").alias("component"), F.col("component").alias("to")).hint("merge")
+    kept = label.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return kept.union(moved.join(label.hint("merge"), "id", "left_anti").select("id", "component"))
+
+
 def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text); see the module text."""
     spark = docs.sparkSession
@@ -411,22 +421,19 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL AND text != ''")
     frequency = spark.sparkContext.broadcast(token_frequency(named.select("text"), n))
 
-    docs.mapInArrow(_nodes(n, percent), f"doc_id long, n_shingles long, s1 long, s2 long, {_P_TYPE}, wide binary").write.parquet(f"{folder}/documents")
-    every = spark.read.parquet(f"{folder}/documents")
+    every = written(docs.mapInArrow(_nodes(n, percent), f"doc_id long, n_shingles long, s1 long, s2 long, {_P_TYPE}, wide binary"), f"{folder}/documents")
     nodes = every.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), *[F.first(p).alias(p) for p in _P])
-    nodes.write.parquet(f"{folder}/nodes")  # many joins below read it
-    nodes = spark.read.parquet(f"{folder}/nodes")
+    nodes = written(nodes, f"{folder}/nodes")  # many joins below read it
 
     # ids that have several sets are one vertex: their nodes are linked with the id
     lo, hi = F.min(F.struct("s1", "s2")).alias("lo"), F.max(F.struct("s1", "s2")).alias("hi")
     mixed = every.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(lo, hi).filter("NOT (lo <=> hi)").select("doc_id")
     same = every.join(mixed, "doc_id", "left_semi").join(nodes.select("s1", "s2", "node"), ["s1", "s2"]).select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    same = same.filter("a != b").distinct().checkpoint()
+    same = written(same.filter("a != b").distinct(), f"{folder}/same")
 
     rows = named.select("text").mapInArrow(_prefix_rows(n, percent, frequency), "token long, s1 long, s2 long")
     rows = rows.repartition("token").sortWithinPartitions("token", "s1", "s2").mapInArrow(_shared_tokens, "token long, at long, s1 long, s2 long")
-    rows.write.parquet(f"{folder}/shared")
-    rows = spark.read.parquet(f"{folder}/shared")
+    rows = written(rows, f"{folder}/shared")
     large = rows.filter(F.col("at") >= BLOCK).groupBy("token").agg((F.floor(F.max("at") / BLOCK) + 1).alias("blocks"))
     rows = rows.join(large, "token", "left").withColumn("block", F.floor(F.col("at") / BLOCK)).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     # one row per pair of blocks that the node's block is in; cell -1 - block: the block with itself
@@ -436,71 +443,68 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     low = rows.groupBy("s1", "s2").agg(F.min("token").alias("low"))
     wide = rows.join(low, ["s1", "s2"]).join(nodes.drop("node"), ["s1", "s2"]).select(*_NODE_ROW)
     wide = wide.repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
-    wide.mapInArrow(_first_pairs(percent), _PAIR_TYPE).write.parquet(f"{folder}/pairs")
-    found = spark.read.parquet(f"{folder}/pairs")
+    found = written(wide.mapInArrow(_first_pairs(percent), _PAIR_TYPE), f"{folder}/found")
 
     ends = ["a1", "a2", "b1", "b2"]
-    pairs = found.filter("NOT later").select(*ends).distinct().checkpoint()
+    pairs = written(found.filter("NOT later").select(*ends).distinct(), f"{folder}/pairs")
     # tables that grow with the corpus are merged, or the driver would hold a copy of each for a broadcast
     ids = nodes.select("s1", "s2", "node").hint("merge")
-    active = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(pairs.select("b1", "b2")).distinct().join(ids, ["s1", "s2"]).checkpoint()
+    active = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(pairs.select("b1", "b2")).distinct().join(ids, ["s1", "s2"])
+    active = written(active, f"{folder}/active")
     members = spark.sparkContext.broadcast(id_filter(active.select("node")))
     some = named.mapInArrow(_pass_filter(members), "doc_id long, text string")
     # any document with a node's id and signature stands for it
     texts = some.join(active.select(F.col("node").alias("doc_id"), "s1", "s2"), "doc_id").select("s1", "s2", "text")
     sets = texts.mapInArrow(_sets(n, percent, frequency), "s1 long, s2 long, filters binary, tokens binary").dropDuplicates(["s1", "s2"])
-    active.join(sets, ["s1", "s2"]).write.parquet(f"{folder}/sets")
-    sets = spark.read.parquet(f"{folder}/sets")
+    sets = written(active.join(sets, ["s1", "s2"]), f"{folder}/sets")
 
     def tested(some: DataFrame, column: str, kind: str, test) -> DataFrame:
-        """The pairs whose two values of ``column`` pass ``test``."""
-        x = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col(column).alias("x")).hint("merge")
-        y = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col(column).alias("y")).hint("merge")
-        return some.join(x, ends[:2]).join(y, ends[2:]).mapInArrow(_test_pairs(kind, test, ends), "a1 long, a2 long, b1 long, b2 long")
+        """The pairs whose two values of ``column`` pass ``test``, with their nodes a and b."""
+        x = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a"), F.col(column).alias("x")).hint("merge")
+        y = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b"), F.col(column).alias("y")).hint("merge")
+        good = some.join(x, ends[:2]).join(y, ends[2:])
+        return good.mapInArrow(_test_pairs(kind, test, [*ends, "a", "b"]), "a1 long, a2 long, b1 long, b2 long, a long, b long")
 
     def verified(some: DataFrame) -> DataFrame:
         """Links (a, b) by node id: the filters of the other orders first, then the whole sets of what passes."""
-        good = tested(tested(some, "filters", "<u4", pass_filters), "tokens", "<u8", lambda x, y: linked(x, y, percent))
-        a = ids.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a")).hint("merge")
-        b = ids.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b")).hint("merge")
-        return good.join(a, ends[:2]).join(b, ends[2:]).select("a", "b")
+        good = tested(some, "filters", "<u4", pass_filters).select(*ends)
+        return tested(good, "tokens", "<u8", lambda x, y: linked(x, y, percent)).select("a", "b")
 
     # one pair per node first; the others only where the components differ
     turned = pairs.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2"))
     chosen = pairs.union(turned).groupBy("a1", "a2").agg(F.min(F.struct("b1", "b2")).alias("b")).select("a1", "a2", "b.b1", "b.b2")
     small, large = F.least(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2"))), F.greatest(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2")))
-    chosen = chosen.select(small.alias("p"), large.alias("q")).select("p.a1", "p.a2", F.col("q.a1").alias("b1"), F.col("q.a2").alias("b2")).distinct().checkpoint()
-    links = verified(chosen).checkpoint()
-    label = components(links.union(same))
+    chosen = chosen.select(small.alias("p"), large.alias("q")).select("p.a1", "p.a2", F.col("q.a1").alias("b1"), F.col("q.a2").alias("b2")).distinct()
+    chosen = written(chosen, f"{folder}/chosen")
+    label = components(verified(chosen).union(same))
 
-    def labelled() -> DataFrame:
-        return ids.join(label, ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label")).hint("merge")
+    def labelled(name: str) -> DataFrame:
+        of_set = ids.join(label.hint("merge"), ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
+        return written(of_set, f"{folder}/{name}").hint("merge")
 
-    of_set = labelled()
+    of_set = labelled("components")
     la = of_set.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("label").alias("la")).hint("merge")
     lb = of_set.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("label").alias("lb")).hint("merge")
     rest = pairs.join(chosen.hint("merge"), ends, "left_anti").join(la, ends[:2]).join(lb, ends[2:]).filter("la != lb").select(*ends)
     # the groups with more pairs: a pair of nodes that could join two components each, as long as
     # components join; then whatever passes between those that are left
     wide = every.filter("wide IS NOT NULL").groupBy("s1", "s2").agg(F.first("wide").alias("wide")).hint("merge")
-    later = found.filter("later").select(*_NODE_ROW).join(wide, ["s1", "s2"], "left")
-    later = later.repartition("token", "cell").sortWithinPartitions("token", "cell", "block").select(*_NODE_ROW, "wide")
-    later.write.parquet(f"{folder}/later")
-    later, tried = spark.read.parquet(f"{folder}/later"), chosen
+    later = found.filter("later").select(*_NODE_ROW).join(wide, ["s1", "s2"], "left").select(*_NODE_ROW, "wide")
+    later, tried = written(later, f"{folder}/later"), chosen
     for look in range(LOOKS):
         again = later.join(of_set, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
         more = again.select(*_NODE_ROW, "wide", "label").mapInArrow(_other_pairs(percent, look == LOOKS - 1), "a1 long, a2 long, b1 long, b2 long")
-        more = (more.union(rest) if look == 0 else more).distinct().join(tried.hint("merge"), ends, "left_anti").checkpoint()
+        more = (more.union(rest) if look == 0 else more).distinct().join(tried.hint("merge"), ends, "left_anti")
+        more = written(more, f"{folder}/more-{look}")
         if not more.isEmpty():
             tried = tried.union(more)
-            second = verified(more).checkpoint()
+            second = written(verified(more), f"{folder}/links-{look}")
             if not second.isEmpty():
-                links = links.union(second)
-                label = components(links.union(same))
-                of_set = labelled()
+                label = written(joined_components(label, second), f"{folder}/labels-{look}")
+                of_set = labelled(f"components-{look}")
 
     placed = every.join(ids, ["s1", "s2"], "left").withColumn("node", F.coalesce("node", "doc_id"))
-    placed = placed.join(label.withColumnRenamed("id", "node"), "node", "left")
+    placed = placed.join(label.withColumnRenamed("id", "node").hint("merge"), "node", "left")
     return placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")).alias("component_id"))
 
 
