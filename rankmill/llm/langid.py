@@ -11,8 +11,9 @@ score that share.
 
 Training takes about ``MAX_TRAIN_ROWS`` labelled texts to the driver, by a hash of
 the text: equal texts are one, every language has the same share of them, and one
-with fewer gives all it has. Of a text with more than ``TRAIN_CHARS`` characters the
-tasks draw runs of words from seeded random places in equal parts of the whole text.
+with fewer gives all it has. Rows are taken whole. Where a language's texts are so long
+that its share of rows would exceed its share of ``TRAIN_CHARS`` characters on average, it
+has fewer rows, but about ``MIN_LANG_ROWS`` at least.
 Prediction is one pass over all whole texts without a shuffle; within a slice of
 texts the recursions run over all its documents at once, one word each step.
 
@@ -33,8 +34,7 @@ from rankmill.llm import wordhash as wh
 
 MAX_TRAIN_ROWS = 2_000
 MIN_LANG_ROWS = 20
-TRAIN_CHARS = 4_000
-RUN_CHARS = 200
+TRAIN_CHARS = 32_000_000
 N_SEQUENCES = 2_500
 SEQUENCE_WORDS = 60
 MAX_RUN = 20
@@ -210,48 +210,20 @@ def fit(texts: list[str], langs: list[str]) -> Field:
     return Field(names, weights.astype(np.float32), moves.astype(np.float32))
 
 
-def drawn_runs(text: str, seed: int) -> str:
-    """``text``, or of a long one a run of words from a random place in each of its equal parts."""
-    if len(text) <= TRAIN_CHARS:
-        return text
-    rng = np.random.default_rng(seed)
-    edges = np.linspace(0, len(text), TRAIN_CHARS // RUN_CHARS + 1).astype(int)
-    runs = []
-    for lo, hi in zip(edges, edges[1:]):
-        a = int(lo + rng.integers(max(1, hi - lo - RUN_CHARS + 1)))
-        run = text[a : a + RUN_CHARS]
-        inner = run.split()
-        # cut words at the edges go, where others remain
-        inner = inner[int(a > 0 and not text[a - 1].isspace() and not run[0].isspace() and len(inner) > 2) :]
-        after = text[a + RUN_CHARS : a + RUN_CHARS + 1]
-        runs += inner[:-1] if len(inner) > 1 and after.strip() and not run[-1].isspace() else inner
-    drawn = " ".join(runs)
-    if any(c.isalpha() for c in drawn):
-        return drawn
-    first = next((i for i, c in enumerate(text) if c.isalpha()), 0)
-    return text[first : first + TRAIN_CHARS]
-
-
-def _drawn_texts(batches):
-    for batch in batches:
-        seeds, texts = batch.column("hash").to_pylist(), batch.column("text").to_pylist()
-        drawn = pa.array([drawn_runs(t, h % (1 << 64)) for t, h in zip(texts, seeds, strict=True)], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("hash"), drawn], ["lang", "hash", "text"])
-
-
 def train(docs: DataFrame, usable, max_rows: int = MAX_TRAIN_ROWS) -> Field | None:
     """Fit on a bounded sample of the rows that meet ``usable``; None if there is no such row."""
     text = F.col("text").cast("string")
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & text.rlike(r"\p{L}") & usable)
     rows = rows.select("lang", text.alias("text"), F.xxhash64(text, F.lit("sample")).alias("hash"))
-    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"), F.count("*").alias("rows"), F.sum(F.length("text")).alias("chars")).collect()
     if not sizes:
         return None
     most = max(MIN_LANG_ROWS, max_rows // len(sizes))
-    bound = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, most / max(1, r["n"])) * (1 << 52))) for r in sizes], "lang string, bound long")
+    fits = {r["lang"]: max(MIN_LANG_ROWS, min(most, TRAIN_CHARS / len(sizes) * r["rows"] / r["chars"])) for r in sizes}
+    share = {r["lang"]: min(1.0, fits[r["lang"]] / max(1, r["n"])) for r in sizes}
+    bound = docs.sparkSession.createDataFrame([(lang, int(x * (1 << 52))) for lang, x in share.items()], "lang string, bound long")
     some = rows.join(F.broadcast(bound), "lang").filter(F.pmod("hash", F.lit(1 << 52)) < F.col("bound")).select("lang", "hash", "text")
-    got = some.mapInArrow(_drawn_texts, "lang string, hash long, text string").dropDuplicates(["lang", "hash"]).toPandas().sort_values(["lang", "hash"])
-    got = got[[any(c.isalpha() for c in t) for t in got["text"]]]
+    got = some.dropDuplicates(["lang", "hash"]).toPandas().sort_values(["lang", "hash"])
     return fit(got["text"].tolist(), got["lang"].tolist()) if len(got) else None
 
 
