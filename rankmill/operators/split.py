@@ -66,5 +66,6 @@ def split_data(df: DataFrame, test_size: float = 0.2, random_state: int = 42, gr
 
 
 def keep_groups(df: DataFrame, keys: DataFrame, group: str = GROUP_COL, keep: bool = True) -> DataFrame:
-    """Membership filter and its complement by a key set."""
-    return df.join(keys.select(group), group, "left_semi" if keep else "left_anti")
+    """Membership filter and its complement by a key set (J2): a hash join, so
+    that a task holds its part of the key set and sorts no rows."""
+    return df.join(keys.select(group).hint("shuffle_hash"), group, "left_semi" if keep else "left_anti")
