@@ -79,7 +79,8 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per column (G12) with
-    exact quantiles."""
+    exact quantiles. The pruned columns are kept (memory, then disk), so that
+    ``df`` runs once, whatever the number of columns."""
     aggs = []
     for c in cols:
         aggs += [
@@ -89,23 +90,15 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
             F.min(F.col(c).cast("double")).alias(f"{c}__min"),
             F.max(F.col(c).cast("double")).alias(f"{c}__max"),
         ]
-    one = df.agg(*aggs)
-    spark = df.sparkSession
-    qrows = []
-    for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        qrows.append((c, *q))
-    qdf = spark.createDataFrame(qrows, "column_name string, p25 double, p50 double, p75 double")
-    long = one.select(
-        stack_rows(
-            [
-                [F.lit(c), F.col(f"{c}__count").cast("long"), F.col(f"{c}__mean"), F.col(f"{c}__std"), F.col(f"{c}__min"), F.col(f"{c}__max")]
-                for c in cols
-            ],
-            ["column_name", "count", "mean", "std", "min", "max"],
-        )
-    )
-    return long.join(qdf, "column_name").select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    values = df.select(*dict.fromkeys(cols)).persist()
+    try:
+        one = values.agg(*aggs).first()
+        quantiles = {c: exact_quantiles(values, c, [0.25, 0.5, 0.75]) for c in cols}
+    finally:
+        values.unpersist()
+    rows = [(c, one[f"{c}__count"], one[f"{c}__mean"], one[f"{c}__std"], one[f"{c}__min"], *quantiles[c], one[f"{c}__max"]) for c in cols]
+    reals = ", ".join(f"{name} double" for name in ("mean", "std", "min", "p25", "p50", "p75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column_name string, count long, {reals}")
 
 
 def min_max(df: DataFrame, column: str) -> DataFrame:
