@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankmill.operators.quantiles import exact_quantile
+from rankmill.session import checkpoint_dir
 
 
 def rate_by(df: DataFrame, by, target: str) -> DataFrame:
@@ -118,15 +119,16 @@ def pair_correlations(df: DataFrame, cols: dict[str, Column], pairs: list[tuple[
     first, small pass) keeps the sums precise.
     """
     names = list(cols)
-    means = df.agg(*[F.avg(c.cast("double")).alias(f"m{i}") for i, c in enumerate(cols.values())]).first()
+    means = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c.cast("double")).alias(f"m{i}") for i, c in enumerate(cols.values())]).first()
+    if not names or not means["n"]:
+        return [None for _ in pairs]
     parts = []
     for i, c in enumerate(cols.values()):
         x = c.cast("double") - F.lit(float(means[f"m{i}"] or 0.0))
         parts += [c.isNotNull().cast("double"), F.coalesce(x, F.lit(0.0)), F.coalesce(x * x, F.lit(0.0))]
     vectors = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("v")), "v")
-    if not names or vectors.isEmpty():
-        return [None for _ in pairs]
-    g = RowMatrix(vectors).computeGramianMatrix().toArray()
+    # with the sizes given, the matrix runs ``df`` once
+    g = RowMatrix(vectors, means["n"], 3 * len(names)).computeGramianMatrix().toArray()
     out = []
     for a, b in pairs:
         i, j = 3 * names.index(a), 3 * names.index(b)
@@ -180,7 +182,9 @@ def chi2_2x2(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFram
     one degree of freedom is erfc(sqrt(x / 2)), null otherwise.
     """
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = both.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("o"))
+    checkpoint_dir(df.sparkSession)
+    # written: the plan below uses the cells many times, ``df`` runs once
+    cells = both.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("o")).checkpoint()
     rows, cols = cells.groupBy("a").agg(F.sum("o").alias("ra")), cells.groupBy("b").agg(F.sum("o").alias("cb"))
     for side, name in ((rows, a), (cols, b)):
         if len(side.limit(MAX_CATEGORIES + 1).collect()) > MAX_CATEGORIES:
