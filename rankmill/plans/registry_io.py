@@ -18,7 +18,7 @@ from rankmill.plans.registry_runs import _RUN_SQL, _run_logs
 from rankmill.plans.train import predict, prepare_features_and_target
 from rankmill.schema import CATEGORICAL_COLS, EXCLUDED_FEATURE_COLS, TRAIN_ONLY_COLS, impression_schema
 from rankmill.session import checkpoint_dir
-from rankmill.sources.bridge import impressions, oracle_cte
+from rankmill.sources.bridge import impressions, oracle_cte, read_table, task_count
 from rankmill.sources.files import load_impressions, write_json, write_submission
 from rankmill.sources.runlogs import read_run_logs
 
@@ -38,7 +38,7 @@ _PLAIN = [c for c in BASE if c != "date_time"]
 def q_s01(spark, sf):
     view = impressions(spark, sf)
     path = _folder(spark, "log")
-    view.write.option("header", True).option("nullValue", "NULL").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    view.write.option("header", True).option("nullValue", "NULL").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("compression", "gzip").csv(path)
     kinds = dict(view.dtypes)
     got = load_impressions(spark, path)
     got = got.select(*[F.col(c).cast(kinds[c]).alias(c) for c in _PLAIN], F.date_format("date_time", "yyyy-MM-dd HH:mm:ss").alias("date_time"))
@@ -54,7 +54,9 @@ def q_s02(spark, sf):
     path = _folder(spark, "ordered-log")
     view = impressions(spark, sf).drop("date_time").withColumn("date_time", F.lit("2013-04-04 08:32:15"))
     view = view.select(*[f.name for f in impression_schema(True).fields])
-    view.repartitionByRange(7, *_FIRST).sortWithinPartitions(*_FIRST).write.option("header", True).option("nullValue", "NULL").csv(path)
+    # at least seven files, more where the log is longer, so that a task sorts a bounded part
+    files = task_count(spark, read_table(spark, sf, "lineitem").count(), at_least=7)
+    view.repartitionByRange(files, *_FIRST).sortWithinPartitions(*_FIRST).write.option("header", True).option("nullValue", "NULL").csv(path)
     return norm_df(load_impressions(spark, path, limit_rows=FIRST_ROWS).select(*_FIRST))
 
 
@@ -167,7 +169,7 @@ _RANKED_FOREST = [
 )
 def q_m08(spark, sf):
     model = LambdaMARTModel(_RANKED, [Tree(t, _RANKED) for t in _RANKED_FOREST], 0.1, len(_RANKED_FOREST), None)
-    view = impressions(spark, sf)
+    view = impressions(spark, sf, "prop_id")
     _, fitted = handle_missing_values(view)
     return norm_df(predict(model, view.drop(*TRAIN_ONLY_COLS), fitted).select("srch_id", "prop_id", "relevance_score"), ["relevance_score"])
 
