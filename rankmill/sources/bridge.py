@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # lines of one task of the join
 TASK_ROWS = 400_000
-# lines from which on the number of tasks is given, so that AQE does not join them to large ones
+# lines of a log that is left to the planner and AQE as a whole
 COUNTED_ROWS = 20 * TASK_ROWS
 BASE_TABLES = ("lineitem", "orders", "part", "supplier", "customer")
 
@@ -74,33 +74,31 @@ def impressions(spark: SparkSession, sf_dir: str, deal: str = "srch_id") -> Data
     scale factors can be used in one session. Catalyst prunes each scan to the
     columns the caller finally uses.
 
-    The rows come dealt by ``deal`` (``srch_id`` or ``prop_id``): the join by that key
-    goes last, so that what groups by it needs no shuffle of its own. Orders meet
-    customers while they are narrow, lines meet orders in a hash join that sorts
-    nothing, and above ``COUNTED_ROWS`` lines (counted in the file footers) the number of
-    tasks follows them.
+    Up to ``COUNTED_ROWS`` lines (counted in the file footers) the joins are planned as
+    the SQL text has them. The rows of a longer log come dealt by ``deal`` (``srch_id`` or
+    ``prop_id``): the join by that key goes last, so that what groups by it needs no
+    shuffle of its own. Orders meet customers while they are narrow, lines meet orders in
+    a hash join that sorts nothing, and the number of tasks follows the lines.
     """
     if deal not in ("srch_id", "prop_id"):
         raise ValueError("deal must be 'srch_id' or 'prop_id'")
     line, orders, part, supplier, customer = (read_table(spark, sf_dir, t) for t in BASE_TABLES)
     lines = line.count()
-    # a small log is left to AQE, which joins small parts and splits skewed ones
-    n = max(task_count(spark, lines), int(spark.conf.get("spark.sql.shuffle.partitions"))) if lines > COUNTED_ROWS else None
-
-    def dealt(rows: DataFrame, key: str) -> DataFrame:
-        return rows.repartition(n, key) if n else rows
-
+    if lines <= COUNTED_ROWS:
+        return spark.sql(bridge_sql(lambda name: "{" + name + "}"), **dict(zip(BASE_TABLES, (line, orders, part, supplier, customer), strict=True)))
+    # a given number: AQE does not join the parts to large ones
+    n = max(task_count(spark, lines), int(spark.conf.get("spark.sql.shuffle.partitions")))
     orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
     def with_orders(rows: DataFrame) -> DataFrame:
-        return dealt(rows, "l_orderkey").join(dealt(orders, "o_orderkey").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return rows.repartition(n, "l_orderkey").join(orders.repartition(n, "o_orderkey").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     if deal == "srch_id":
         rows = line.join(part, F.col("l_partkey") == F.col("p_partkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         rows = with_orders(rows)
     else:
         rows = with_orders(line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
-        rows = dealt(rows, "l_partkey").join(dealt(part, "p_partkey").hint("shuffle_hash"), F.col("l_partkey") == F.col("p_partkey"))
+        rows = rows.repartition(n, "l_partkey").join(part.repartition(n, "p_partkey").hint("shuffle_hash"), F.col("l_partkey") == F.col("p_partkey"))
     return spark.sql(bridge_sql().split("\nFROM ")[0] + "\nFROM {rows}", rows=rows)
 
 

@@ -38,7 +38,8 @@ def test_bridge_rows_whatever_the_deal(spark, tmp_path, monkeypatch):
             assert sorted(map(str, bridge.impressions(spark, path, deal).collect())) == want
 
 
-def test_bridge_join_by_search_sorts_nothing_and_feeds_a_group_by(spark, tmp_path):
+def test_bridge_join_by_search_sorts_nothing_and_feeds_a_group_by(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bridge, "COUNTED_ROWS", 0)
     view = bridge.impressions(spark, _tables(spark, tmp_path))
     keys = view.filter("booking_bool = 1").select("srch_id").distinct()
     plan = _plan(keep_groups(view.select("srch_id", "prop_id"), keys))
