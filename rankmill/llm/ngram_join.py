@@ -8,25 +8,27 @@ under each of several. All orders put frequent tokens last (by a count over all
 documents in a sketch of fixed size) and break ties by a hash of their own, so
 they differ and their filters are nearly independent.
 
-1. The first order's prefix tokens are dealt by token; groups of two or more
-   nodes remain. Groups above ``BLOCK`` nodes are dealt again as pairs of blocks,
-   so no task holds more than two blocks.
+1. The first order's prefix tokens are dealt by token, with the size of the set;
+   nodes remain that have another of a size that can be linked in their group. Groups
+   above ``BLOCK`` nodes are dealt again as pairs of blocks, so no task holds more than
+   two blocks.
 2. Pairs of a group are held against the length filter and a parity bitmap: the
    bits in which two bitmaps differ are a lower bound of the tokens in which the
-   sets differ. This never loses a link.
+   sets differ. This never loses a link. The short bitmap tells small sets apart; rows
+   that are in a passing pair are dealt again with bitmaps as wide as their sets need.
 3. Pairs that pass are checked under the other orders, on prefixes that are longer by
    l - 1 tokens and so share l in every link; of what passes, the whole sets are
    compared.
 4. Of a group's pairs, one or two per node are checked first. When the components
-   of those links are known, groups that have more pairs are looked at again, with
-   bitmaps as wide as their sets need: one pair for every two components that a
-   group could join, and, when those are known, every pair that still lies between
-   components. So a family of near copies is not written out as all its pairs, yet
+   of those links are known, groups that have more pairs are looked at again:
+   one pair for every two components that a group could join, and, when those are
+   known, every pair that still lies between components. So a family of near copies is not written out as all its pairs, yet
    no link between components is lost.
 
 Sets are made again from the texts of the nodes that are in some pair; a filter of
-fixed size over their ids keeps other texts out of that shuffle. Where it is too
-small for the ids it lets more texts through, and the join still drops them.
+fixed size over their ids keeps other sets out of that shuffle. Later looks compare
+few of them: a filter over the names in their pairs keeps the others out. Where a filter
+is too small for its ids it lets more sets through, and the join still drops them.
 
 Defined cases: a text with fewer words than ``n`` is one n-gram of all its words;
 texts without words have empty sets and link with nothing; null ids link with
@@ -40,7 +42,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankmill.llm import wordhash as wh
@@ -198,32 +200,42 @@ def _prefix_rows(n: int, percent: int, shared):
         frequency = shared.value
         for batch in batches:
             for part in wh.slices(batch, limit=SLICE_BYTES):
-                seen, tokens, first, second = set(), [], [], []
+                seen, tokens, sizes, first, second = set(), [], [], [], []
                 for s in document_sets(part, n):
                     if not len(s) or (sign := _signature(s)) in seen:
                         continue
                     seen.add(sign)
                     p = wh.signed(prefix(s, 0, frequency, prefix_size(len(s), percent)))
                     tokens.append(p)
+                    sizes.append(np.full(len(p), len(s), np.int32))
                     first.append(np.full(len(p), sign[0]))
                     second.append(np.full(len(p), sign[1]))
                 if tokens:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, first, second)], ["token", "s1", "s2"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, sizes, first, second)], ["token", "size", "s1", "s2"])
 
     return run
 
 
-def _shared_tokens(batches):
-    """Distinct (token, node) rows of tokens that two nodes have, numbered within the token."""
-    for c in wh.whole_groups(batches, ["token"]):
-        keep = wh.group_starts(c["token"], c["s1"], c["s2"])
-        token, s1, s2 = c["token"][keep], c["s1"][keep], c["s2"][keep]
-        new = wh.group_starts(token)
-        begin = np.flatnonzero(new)
-        size = np.diff(np.append(begin, len(token)))
-        many = np.repeat(size > 1, size)
-        at = np.arange(len(token)) - np.repeat(begin, size)
-        yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (token, at, s1, s2)], ["token", "at", "s1", "s2"])
+def _shared_tokens(percent: int, block: int):
+    """Distinct (token, node) rows whose token another node has that could be linked by its size, numbered within the token."""
+
+    def run(batches):
+        for c in wh.whole_groups(batches, ["token"]):  # by size within the token
+            c = {k: v[wh.group_starts(c["token"], c["s1"], c["s2"])] for k, v in c.items()}
+            size = c["size"].astype(np.int64)
+            # of the sizes in order, the nearest one is a neighbour
+            near = (c["token"][1:] == c["token"][:-1]) & (100 * size[:-1] >= percent * size[1:])
+            keep = np.append(near, False) | np.append(False, near)
+            token, s1, s2 = c["token"][keep], c["s1"][keep], c["s2"][keep]
+            if not len(token):
+                continue
+            begin = np.flatnonzero(wh.group_starts(token))
+            rows = np.diff(np.append(begin, len(token)))
+            at = np.arange(len(token)) - np.repeat(begin, rows)
+            blocks = np.repeat((rows - 1) // block + 1, rows)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, at // block, blocks, s1, s2)], ["token", "block", "blocks", "s1", "s2"])
+
+    return run
 
 
 class _WideParity:
@@ -291,7 +303,8 @@ def _passing(c: dict[str, np.ndarray], percent: int, labels: bool) -> tuple[np.n
 
 
 _NODE_ROW = ["token", "cell", "block", "low", "n_shingles", "s1", "s2", *_P]
-_PAIR_TYPE = f"a1 long, a2 long, b1 long, b2 long, later boolean, token long, cell long, block long, low long, n_shingles long, s1 long, s2 long, {_P_TYPE}"
+_ROW_TYPE = f"token long, cell long, block long, low long, n_shingles long, s1 long, s2 long, {_P_TYPE}"
+_PAIR_TYPE = f"a1 long, a2 long, b1 long, b2 long, later boolean, {_ROW_TYPE}, wide binary"
 
 
 def _pair_batch(c: dict, i: np.ndarray, j: np.ndarray, later_rows: np.ndarray) -> pa.RecordBatch:
@@ -299,8 +312,21 @@ def _pair_batch(c: dict, i: np.ndarray, j: np.ndarray, later_rows: np.ndarray) -
     a, b = np.where(swap, j, i), np.where(swap, i, j)
     pairs = [pa.array(np.concatenate([x, np.zeros(len(later_rows), np.int64)])) for x in (c["s1"][a], c["s2"][a], c["s1"][b], c["s2"][b])]
     later = pa.array(np.concatenate([np.zeros(len(a), bool), np.ones(len(later_rows), bool)]))
-    rows = [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(c[k][later_rows])]) for k in _NODE_ROW]
-    return pa.RecordBatch.from_arrays([*pairs, later, *rows], ["a1", "a2", "b1", "b2", "later", *_NODE_ROW])
+    kinds = {k: pa.int64() for k in _NODE_ROW} | {"wide": pa.binary()}
+    rows = [pa.concat_arrays([pa.nulls(len(a), t), pa.array(c[k][later_rows], t)]) for k, t in kinds.items()]
+    return pa.RecordBatch.from_arrays([*pairs, later, *rows], ["a1", "a2", "b1", "b2", "later", *kinds])
+
+
+def _passing_rows(percent: int):
+    """The rows that are in some pair that passes."""
+
+    def run(batches):
+        for c in wh.whole_groups(batches, ["token", "cell"]):
+            _, i, j = _passing(c, percent, False)
+            some = np.union1d(i, j)
+            yield pa.RecordBatch.from_arrays([pa.array(c[k][some]) for k in _NODE_ROW], _NODE_ROW)
+
+    return run
 
 
 def _first_pairs(percent: int):
@@ -362,11 +388,11 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _pass_filter(shared):
+def _pass_filter(shared, column: str):
     def run(batches):
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for at in _id_bits(batch.column("doc_id").to_numpy(zero_copy_only=False)):
+            for at in _id_bits(batch.column(column).to_numpy(zero_copy_only=False)):
                 keep &= (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
             yield batch.filter(pa.array(keep))
 
@@ -377,13 +403,13 @@ def _sets(n: int, percent: int, shared):
     def run(batches):
         for batch in batches:
             for part in wh.slices(batch, limit=SLICE_BYTES):
-                sets = document_sets(part, n)
-                want = zip(part.column("s1").to_pylist(), part.column("s2").to_pylist(), strict=True)
-                own = [len(s) > 0 and _signature(s) == sign for s, sign in zip(sets, want, strict=True)]
-                keep = pa.array(own, pa.bool_())
-                sets = [s for s, o in zip(sets, own, strict=True) if o]
-                filters = pa.array([prefix_filters(s, shared.value, percent) for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("s1").filter(keep), part.column("s2").filter(keep), filters, pa.array([s.tobytes() for s in sets], pa.binary())], ["s1", "s2", "filters", "tokens"])
+                found = {}  # of rows that repeat an id and a text one is enough
+                for node, s in zip(part.column("doc_id").to_pylist(), document_sets(part, n), strict=True):
+                    if len(s):
+                        found.setdefault((node, *_signature(s)), s)
+                keys = [pa.array([k[i] for k in found], pa.int64()) for i in range(3)]
+                filters = pa.array([prefix_filters(s, shared.value, percent) for s in found.values()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*keys, filters, pa.array([s.tobytes() for s in found.values()], pa.binary())], ["node", "s1", "s2", "filters", "tokens"])
 
     return run
 
@@ -431,44 +457,51 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     same = every.join(mixed, "doc_id", "left_semi").join(nodes.select("s1", "s2", "node"), ["s1", "s2"]).select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     same = written(same.filter("a != b").distinct(), f"{folder}/same")
 
-    rows = named.select("text").mapInArrow(_prefix_rows(n, percent, frequency), "token long, s1 long, s2 long")
-    rows = rows.repartition("token").sortWithinPartitions("token", "s1", "s2").mapInArrow(_shared_tokens, "token long, at long, s1 long, s2 long")
-    rows = written(rows, f"{folder}/shared")
-    large = rows.filter(F.col("at") >= BLOCK).groupBy("token").agg((F.floor(F.max("at") / BLOCK) + 1).alias("blocks"))
-    rows = rows.join(large, "token", "left").withColumn("block", F.floor(F.col("at") / BLOCK)).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = named.select("text").mapInArrow(_prefix_rows(n, percent, frequency), "token long, size int, s1 long, s2 long")
+    rows = rows.repartition("token").sortWithinPartitions("token", "size", "s1", "s2")
+    rows = written(rows.mapInArrow(_shared_tokens(percent, BLOCK), "token long, block long, blocks long, s1 long, s2 long"), f"{folder}/shared")
+    # tables that grow with the corpus are merged, or the driver would hold a copy of each for a broadcast
+    rows = rows.withColumn("low", F.min("token").over(Window.partitionBy("s1", "s2"))).join(nodes.drop("node").hint("merge"), ["s1", "s2"])
     # one row per pair of blocks that the node's block is in; cell -1 - block: the block with itself
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cell = F.when(F.col("other") == F.col("block"), -1 - F.col("block")).otherwise(F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
-    rows = rows.select("token", cell.cast("long").alias("cell"), F.col("block").cast("long").alias("block"), "s1", "s2")
-    low = rows.groupBy("s1", "s2").agg(F.min("token").alias("low"))
-    wide = rows.join(low, ["s1", "s2"]).join(nodes.drop("node"), ["s1", "s2"]).select(*_NODE_ROW)
-    wide = wide.repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
-    found = written(wide.mapInArrow(_first_pairs(percent), _PAIR_TYPE), f"{folder}/found")
+    rows = rows.withColumn("cell", cell.cast("long")).select(*_NODE_ROW)
+
+    def by_group(rows: DataFrame) -> DataFrame:
+        return rows.repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
+
+    passing = written(by_group(rows).mapInArrow(_passing_rows(percent), _ROW_TYPE), f"{folder}/passing")
+    wide = every.filter("wide IS NOT NULL").groupBy("s1", "s2").agg(F.first("wide").alias("wide")).hint("merge")
+    passing = passing.join(wide, ["s1", "s2"], "left").select(*_NODE_ROW, "wide")
+    found = written(by_group(passing).mapInArrow(_first_pairs(percent), _PAIR_TYPE), f"{folder}/found")
 
     ends = ["a1", "a2", "b1", "b2"]
     pairs = written(found.filter("NOT later").select(*ends).distinct(), f"{folder}/pairs")
-    # tables that grow with the corpus are merged, or the driver would hold a copy of each for a broadcast
     ids = nodes.select("s1", "s2", "node").hint("merge")
     active = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(pairs.select("b1", "b2")).distinct().join(ids, ["s1", "s2"])
     active = written(active, f"{folder}/active")
     members = spark.sparkContext.broadcast(id_filter(active.select("node")))
-    some = named.mapInArrow(_pass_filter(members), "doc_id long, text string")
+    some = named.mapInArrow(_pass_filter(members, "doc_id"), "doc_id long, text string")
     # any document with a node's id and signature stands for it
-    texts = some.join(active.select(F.col("node").alias("doc_id"), "s1", "s2"), "doc_id").select("s1", "s2", "text")
-    sets = texts.mapInArrow(_sets(n, percent, frequency), "s1 long, s2 long, filters binary, tokens binary").dropDuplicates(["s1", "s2"])
-    sets = written(active.join(sets, ["s1", "s2"]), f"{folder}/sets")
-
-    def tested(some: DataFrame, column: str, kind: str, test) -> DataFrame:
-        """The pairs whose two values of ``column`` pass ``test``, with their nodes a and b."""
-        x = sets.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a"), F.col(column).alias("x")).hint("merge")
-        y = sets.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b"), F.col(column).alias("y")).hint("merge")
+    key = ["node", "s1", "s2"]
+    sets = some.mapInArrow(_sets(n, percent, frequency), "node long, s1 long, s2 long, filters binary, tokens binary")
+    sets = written(sets.join(active.hint("merge"), key).dropDuplicates(key), f"{folder}/sets")
+
+    def tested(some: DataFrame, column: str, kind: str, test, few: bool) -> DataFrame:
+        """The pairs whose two values of ``column`` pass ``test``, with their nodes a and b; ``few``: sets that are in no pair stay where they are."""
+        table = sets.select("s1", "s2", "node", column)
+        if few:
+            named_here = spark.sparkContext.broadcast(id_filter(some.select("a1").union(some.select("b1"))))
+            table = table.mapInArrow(_pass_filter(named_here, "s1"), table.schema)
+        x = table.select(F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("node").alias("a"), F.col(column).alias("x")).hint("merge")
+        y = table.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("node").alias("b"), F.col(column).alias("y")).hint("merge")
         good = some.join(x, ends[:2]).join(y, ends[2:])
         return good.mapInArrow(_test_pairs(kind, test, [*ends, "a", "b"]), "a1 long, a2 long, b1 long, b2 long, a long, b long")
 
-    def verified(some: DataFrame) -> DataFrame:
+    def verified(some: DataFrame, folder: str, few: bool) -> DataFrame:
         """Links (a, b) by node id: the filters of the other orders first, then the whole sets of what passes."""
-        good = tested(some, "filters", "<u4", pass_filters).select(*ends)
-        return tested(good, "tokens", "<u8", lambda x, y: linked(x, y, percent)).select("a", "b")
+        good = written(tested(some, "filters", "<u4", pass_filters, few).select(*ends), f"{folder}-filtered")
+        return tested(good, "tokens", "<u8", lambda x, y: linked(x, y, percent), True).select("a", "b")
 
     # one pair per node first; the others only where the components differ
     turned = pairs.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2"))
@@ -476,7 +509,7 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     small, large = F.least(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2"))), F.greatest(F.struct("a1", "a2"), F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2")))
     chosen = chosen.select(small.alias("p"), large.alias("q")).select("p.a1", "p.a2", F.col("q.a1").alias("b1"), F.col("q.a2").alias("b2")).distinct()
     chosen = written(chosen, f"{folder}/chosen")
-    label = components(verified(chosen).union(same))
+    label = components(verified(chosen, f"{folder}/chosen", False).union(same))
 
     def labelled(name: str) -> DataFrame:
         of_set = ids.join(label.hint("merge"), ids["node"] == label["id"], "left").select("s1", "s2", F.coalesce("component", "node").alias("label"))
@@ -488,17 +521,15 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     rest = pairs.join(chosen.hint("merge"), ends, "left_anti").join(la, ends[:2]).join(lb, ends[2:]).filter("la != lb").select(*ends)
     # the groups with more pairs: a pair of nodes that could join two components each, as long as
     # components join; then whatever passes between those that are left
-    wide = every.filter("wide IS NOT NULL").groupBy("s1", "s2").agg(F.first("wide").alias("wide")).hint("merge")
-    later = found.filter("later").select(*_NODE_ROW).join(wide, ["s1", "s2"], "left").select(*_NODE_ROW, "wide")
-    later, tried = written(later, f"{folder}/later"), chosen
+    later, tried = found.filter("later").select(*_NODE_ROW, "wide"), chosen
     for look in range(LOOKS):
-        again = later.join(of_set, ["s1", "s2"]).repartition("token", "cell").sortWithinPartitions("token", "cell", "block")
-        more = again.select(*_NODE_ROW, "wide", "label").mapInArrow(_other_pairs(percent, look == LOOKS - 1), "a1 long, a2 long, b1 long, b2 long")
+        again = by_group(later.join(of_set, ["s1", "s2"]).select(*_NODE_ROW, "wide", "label"))
+        more = again.mapInArrow(_other_pairs(percent, look == LOOKS - 1), "a1 long, a2 long, b1 long, b2 long")
         more = (more.union(rest) if look == 0 else more).distinct().join(tried.hint("merge"), ends, "left_anti")
         more = written(more, f"{folder}/more-{look}")
         if not more.isEmpty():
             tried = tried.union(more)
-            second = written(verified(more), f"{folder}/links-{look}")
+            second = written(verified(more, f"{folder}/more-{look}", True), f"{folder}/links-{look}")
             if not second.isEmpty():
                 label = written(joined_components(label, second), f"{folder}/labels-{look}")
                 of_set = labelled(f"components-{look}")

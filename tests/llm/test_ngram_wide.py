@@ -62,3 +62,28 @@ def test_families_in_small_blocks_lose_no_link(spark, monkeypatch, words, step,
                 parent[max(x, y)] = min(x, y)
     got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90).collect()}
     assert got == {d: root(d) for d in sets}
+
+
+def test_groups_keep_only_sizes_that_can_be_linked(spark):
+    """Of rows that share a token, those without a partner of a fitting size go before they are dealt on."""
+    import pyarrow as pa
+
+    rows = [(7, 100, 1, 1), (7, 112, 2, 2), (7, 112, 2, 2), (7, 90, 3, 3), (7, 500, 4, 4), (8, 10, 1, 1), (8, 12, 2, 2), (9, 5, 6, 6), (9, 5, 6, 6)]
+    rows = sorted(rows)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows])], ["token", "size", "s1", "s2"])
+    got = [tuple(r.values()) for b in J._shared_tokens(90, 2)([batch.slice(0, 3), batch.slice(3)]) for r in b.to_pylist()]
+    assert got == [(7, 0, 1, 3, 3), (7, 0, 1, 1, 1)]
+
+
+def test_first_pairs_use_the_wide_bitmaps(spark, tmp_path, monkeypatch):
+    """Long texts that share passages but are no near copies reach no set comparison."""
+    rng = random.Random(5)
+    # every two texts have a passage of their own, so that the rarest tokens are shared ones
+    passage = {(i, k): " ".join(f"s{rng.randrange(10**9)}" for _ in range(500)) for k in range(7) for i in range(k)}
+    rows = [(k, " ".join(t for ik, t in passage.items() if k in ik)) for k in range(7)]
+    rows += [(100, rows[0][1]), (101, rows[0][1] + " tail")]
+    monkeypatch.setattr(J, "checkpoint_dir", lambda spark: str(tmp_path))
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    assert got == {k: 0 if k > 99 else k for k, _ in rows}
+    (sets,) = tmp_path.glob("ngram-join-*/sets")
+    assert spark.read.parquet(str(sets)).count() == 2
