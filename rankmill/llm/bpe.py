@@ -45,7 +45,8 @@ from rankmill.llm import wordhash as wh
 
 TOKENIZER = "word_bpe_49k.json"
 PIECE_CHARS = 1 << 15
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
+SLICE_BYTES = 1 << 20  # texts encoded at a time: bounds the memory of a task
 FIRST_WINDOW = 64  # characters on each side of a cut; longer than any special token
 AGREE = 2
 
@@ -75,7 +76,8 @@ def load(json_text: str):
 
 
 # ASCII marks from a letter or digit to the word's end are a token split of their own.
-_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x9f-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)(?=[\x09-\x0D\x20]|$)")
+# The pattern begins with the marks, as a search for one set of bytes is fast; what stands before is looked at from there.
+_MARKS = re.compile(rb"[!-/:-@\[-`{-~](?:(?<=[a-z0-9].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))[!-/:-@\[-`{-~]*(?=[\x09-\x0D\x20]|$)")
 
 
 def separate_words(text: str) -> list[bytes]:
@@ -87,7 +89,7 @@ def separate_words(text: str) -> list[bytes]:
     data = text.encode()
     if b"<|" in data:
         return data.split()
-    return _MARKS.sub(rb" \1", data.lower()).split()
+    return _MARKS.sub(rb" \g<0>", data.lower()).split()
 
 
 # Lower-case ASCII and Latin-1 letters: such a word is one split, and normalisation leaves it as it is.
@@ -102,10 +104,14 @@ def byte_symbols() -> list[str]:
 
 
 class Memo:
-    """Ids and decoded form of distinct words, about ``MEMO_WORDS`` at a time."""
+    """Ids and decoded form of distinct words, in two generations of about ``MEMO_WORDS`` / 2.
+
+    When the younger one (``known``) is full it becomes the older one, and a word of the
+    older that is seen again comes back. So words in use stay, and rare ones go.
+    """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
+        self.tokenizer, self.known, self.old = tokenizer, {}, {}
         self.model, self.symbols = tokenizer.model, byte_symbols()
 
     def plain(self, word: bytes) -> tuple[bytes, str]:
@@ -115,12 +121,14 @@ class Memo:
 
     def learn(self, texts: list[list[bytes]]) -> None:
         here = set(chain.from_iterable(texts))
-        new = list(here - self.known.keys())
-        if len(self.known) + len(new) > MEMO_WORDS:  # keep what is in use
-            self.known = {w: self.known[w] for w in here & self.known.keys()}
+        new = here.difference(self.known)
+        if len(self.known) + len(new) > MEMO_WORDS // 2:
+            self.old, self.known, new = self.known, {}, here
+        self.known.update((w, self.old[w]) for w in new if w in self.old)
+        new = new.difference(self.known)
         one = [w for w in new if _PLAIN.fullmatch(w.decode())]
         self.known.update((w, self.plain(w)) for w in one)
-        new = list(set(new).difference(one))
+        new = list(new.difference(one))
         for lo in range(0, len(new), 10_000):
             some = new[lo : lo + 10_000]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
@@ -281,7 +289,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, piece_char
     def short(batches):
         memo = worker_memo(shared.value)
         for batch in batches:
-            for part in wh.slices(batch, "__text"):
+            for part in wh.slices(batch, "__text", SLICE_BYTES):
                 got = encode_words(part.column("__text").to_pylist(), memo)
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())], ["row", "ids", "decoded"])
 

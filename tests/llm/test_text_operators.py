@@ -47,6 +47,24 @@ def test_bpe_rows(edge_docs, no_docs, tokenizer, piece):
     assert bpe.encode_decode(no_docs).collect() == []
 
 
+def test_memo_keeps_words_in_use_and_stays_small(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 200)
+    memo, plain, asked = bpe.Memo(tokenizer), bpe.Memo(tokenizer), []
+    monkeypatch.setattr(memo, "plain", lambda word: asked.append(word) or plain.plain(word))
+    for k in range(60):  # every third text goes without the frequent word
+        words = [f"w{'abcdefghij'[j % 10]}{'abcdefghij'[j // 10]}" for j in range(k, k + 20)] + ["x" * (k + 1)] + ["river"] * (k % 3 > 0)
+        text = " ".join(words + [w + "q" * (1 + k % 7) for w in words])
+        ((ids, decoded),) = bpe.encode_words([text], memo)
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == tokenizer.decode(want, skip_special_tokens=False)
+        assert len(memo.known) + len(memo.old) <= 200
+    assert asked.count(b"river") == 1
+
+
+def test_closing_marks_are_words_of_their_own():
+    assert bpe.separate_words("One, two!? (three) a.b, \u00f6. \u00f7. \u65e5. ..9;") == "one , two !? (three ) a.b , \u00f6 . \u00f7. \u65e5. ..9 ;".encode().split()
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = langid.op3_language_id(spark, SF).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
