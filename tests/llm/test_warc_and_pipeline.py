@@ -9,6 +9,7 @@ import random
 import re
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,32 @@ def test_pipeline_edges(spark, tmp_path, edge_docs, no_docs):
             assert docs.columns == edge_docs.columns
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+
+
+def test_stages_hand_python_few_rows_at_a_time(spark, tmp_path, monkeypatch):
+    """Whole texts lie in a batch: Spark's 10,000 rows of them took an executor beyond its memory."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(3_000).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(setting, "10000")
+            stage(spark, docs, str(tmp_path))
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) == corpus_pipeline.BATCH_ROWS
+        spark.conf.set(setting, "100")
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(setting) == "100"
+        monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-1:])
+        spark.conf.set(setting, "777")
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() == 3_000
+        assert spark.conf.get(setting) == "777"
+    finally:
+        spark.conf.set(setting, before)
