@@ -157,13 +157,13 @@ def token_frequency(docs: DataFrame, n: int) -> np.ndarray:
     """Frequency class (bits of the count) of every sketch cell, over all documents; fixed size 2^SKETCH_BITS bytes."""
 
     def count(batches):
-        cells = np.zeros(1 << SKETCH_BITS, np.int64)
+        cells = np.zeros(1 << SKETCH_BITS, np.int32)
         for batch in batches:
             for part in wh.slices(batch, limit=SLICE_BYTES):
                 w = wh.words(part.column("text"), lower=True)
                 g = wh.ngram_hashes(wh.word_hashes(w), n)
-                cells += np.bincount(_cell(g[wh.whole(w.row, n)]), minlength=len(cells))
-        blocks = cells.astype("<i4").reshape(-1, SKETCH_BLOCK)
+                np.add.at(cells, _cell(g[wh.whole(w.row, n)]), 1)  # in place: a slice has far fewer tokens than the sketch cells
+        blocks = cells.astype("<i4", copy=False).reshape(-1, SKETCH_BLOCK)
         some = [i for i in range(len(blocks)) if blocks[i].any()]
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "cells"])
 
@@ -388,21 +388,28 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def _in_filter(ids: pa.Array, bits: np.ndarray) -> pa.Array:
+    keep = np.ones(len(ids), bool)
+    for at in _id_bits(ids.to_numpy(zero_copy_only=False)):
+        keep &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return pa.array(keep)
+
+
 def _pass_filter(shared, column: str):
     def run(batches):
         for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for at in _id_bits(batch.column(column).to_numpy(zero_copy_only=False)):
-                keep &= (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-            yield batch.filter(pa.array(keep))
+            yield batch.filter(_in_filter(batch.column(column), shared.value))
 
     return run
 
 
-def _sets(n: int, percent: int, shared):
+def _sets(n: int, percent: int, shared, members):
+    """Sets of the documents whose ids pass the filter ``members``; a function of its own before
+    this one would take a second Python worker of every running task."""
+
     def run(batches):
         for batch in batches:
-            for part in wh.slices(batch, limit=SLICE_BYTES):
+            for part in wh.slices(batch.filter(_in_filter(batch.column("doc_id"), members.value)), limit=SLICE_BYTES):
                 found = {}  # of rows that repeat an id and a text one is enough
                 for node, s in zip(part.column("doc_id").to_pylist(), document_sets(part, n), strict=True):
                     if len(s):
@@ -481,10 +488,9 @@ def jaccard_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     active = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).union(pairs.select("b1", "b2")).distinct().join(ids, ["s1", "s2"])
     active = written(active, f"{folder}/active")
     members = spark.sparkContext.broadcast(id_filter(active.select("node")))
-    some = named.mapInArrow(_pass_filter(members, "doc_id"), "doc_id long, text string")
     # any document with a node's id and signature stands for it
     key = ["node", "s1", "s2"]
-    sets = some.mapInArrow(_sets(n, percent, frequency), "node long, s1 long, s2 long, filters binary, tokens binary")
+    sets = named.mapInArrow(_sets(n, percent, frequency, members), "node long, s1 long, s2 long, filters binary, tokens binary")
     sets = written(sets.join(active.hint("merge"), key).dropDuplicates(key), f"{folder}/sets")
 
     def tested(some: DataFrame, column: str, kind: str, test, few: bool) -> DataFrame:

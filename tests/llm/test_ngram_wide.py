@@ -87,3 +87,48 @@ def test_first_pairs_use_the_wide_bitmaps(spark, tmp_path, monkeypatch):
     assert got == {k: 0 if k > 99 else k for k, _ in rows}
     (sets,) = tmp_path.glob("ngram-join-*/sets")
     assert spark.read.parquet(str(sets)).count() == 2
+
+
+def test_no_stage_runs_two_python_functions(spark, monkeypatch):
+    """Each one takes a worker process of every running task, and its memory stays with it."""
+    plans = []
+
+    def written(df, path):
+        plans.append((path, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, path)
+
+    real = J.written
+    monkeypatch.setattr(J, "written", written)
+    rng = random.Random(3)
+    docs = spark.createDataFrame(_chained(rng, 2, 6, 120, 2), "doc_id long, text string")
+    out = J.jaccard_components(docs, 3, 90)
+    plans.append(("result", out._jdf.queryExecution().executedPlan().toString()))
+    assert len(plans) > 8
+    for path, plan in plans:
+        # walk up from every Python function: an exchange comes before the next one
+        above = {}
+        for line in plan.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            above = {d: x for d, x in above.items() if d < depth}
+            name = line.lstrip(" :+-*()0123456789")
+            near = max(above, default=None)
+            state = above[near] if near is not None else False
+            if "InArrow" in name.split(" ")[0] or "MapInArrow" in name[:24]:
+                assert not state, (path, plan)
+                state = True
+            elif "Exchange" in name.split(" ")[0]:
+                state = False
+            above[depth] = state
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_the_sketch_counts_every_shingle(spark, slices):
+    rng = random.Random(slices)
+    rows = [(" ".join(rng.choice("abcdefgh") + str(rng.randrange(3)) for _ in range(rng.choice((1, 2, 3, 40)))),) for _ in range(200)]
+    got = J.token_frequency(spark.createDataFrame(rows, "text string").repartition(slices), 3)
+    want = np.zeros(1 << J.SKETCH_BITS, np.int64)
+    for (text,) in rows:
+        w = J.wh.words(J.pa.array([text]))
+        for cell in J._cell(J.wh.ngram_hashes(J.wh.word_hashes(w), 3)):
+            want[cell] += 1
+    assert (got == np.frexp(want.astype(float))[1]).all()
