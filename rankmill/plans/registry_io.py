@@ -17,13 +17,16 @@ from rankmill.plans.registry import BASE, IMP_CTE, _key_feature_sql, _row_featur
 from rankmill.plans.registry_runs import _RUN_SQL, _run_logs
 from rankmill.plans.train import predict, prepare_features_and_target
 from rankmill.schema import CATEGORICAL_COLS, EXCLUDED_FEATURE_COLS, TRAIN_ONLY_COLS, impression_schema
-from rankmill.session import checkpoint_dir
+from rankmill.session import checkpoint_dir, shuffles_freed
+from rankmill.sources import bridge
 from rankmill.sources.bridge import impressions, oracle_cte, read_table, task_count
 from rankmill.sources.files import load_impressions, write_json, write_submission
 from rankmill.sources.runlogs import read_run_logs
 
 W = oracle_cte()
 FIRST_ROWS = 5000
+# a long log is written in so many slices, and each drops its shuffle files before the next; a fixed number, so that the work follows the rows
+LOG_SLICES = 8
 
 
 def _folder(spark, name: str) -> str:
@@ -45,6 +48,17 @@ def q_s01(spark, sf):
     return norm_df(got)
 
 
+def _key_slices(view: DataFrame, key: str, lines: DataFrame, column: str, slices: int) -> list[DataFrame]:
+    """``view`` in up to ``slices`` ascending ranges of its ``key``, cut at approximate quantiles of ``column`` in ``lines``; null keys come first."""
+    probs = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(lines.agg(F.percentile_approx(column, probs).alias("q")).first()["q"] or [])) if probs else []
+    k = F.col(key)
+    if not cuts:
+        return [view]
+    ranges = [k.isNull() | (k < cuts[0]), *[(k >= a) & (k < b) for a, b in zip(cuts, cuts[1:])], k >= cuts[-1]]
+    return [view.where(r) for r in ranges]
+
+
 _FIRST = ["srch_id", "prop_id", "position", "price_usd"]
 
 
@@ -52,12 +66,19 @@ _FIRST = ["srch_id", "prop_id", "position", "price_usd"]
 def q_s02(spark, sf):
     """The row limit is the feature: the files of the whole log lie in key order."""
     path = _folder(spark, "ordered-log")
-    view = impressions(spark, sf).drop("date_time").withColumn("date_time", F.lit("2013-04-04 08:32:15"))
+    lines = read_table(spark, sf, "lineitem")
+    n = lines.count()
+    slices = 1 if n <= bridge.COUNTED_ROWS else LOG_SLICES
+    view = impressions(spark, sf, slices=slices).drop("date_time").withColumn("date_time", F.lit("2013-04-04 08:32:15"))
     view = view.select(*[f.name for f in impression_schema(True).fields])
     # at least seven files, more where the log is longer, so that a task sorts a bounded part
-    files = task_count(spark, read_table(spark, sf, "lineitem").count(), at_least=7)
-    view.repartitionByRange(files, *_FIRST).sortWithinPartitions(*_FIRST).write.option("header", True).option("nullValue", "NULL").csv(path)
-    return norm_df(load_impressions(spark, path, limit_rows=FIRST_ROWS).select(*_FIRST))
+    files = task_count(spark, n, at_least=7)
+    with shuffles_freed(spark):
+        # the folders of the slices lie in key order, too
+        for i, part in enumerate(_key_slices(view, "srch_id", lines, "l_orderkey", slices)):
+            ordered = part.repartitionByRange(-(-files // slices), *_FIRST).sortWithinPartitions(*_FIRST)
+            ordered.write.option("header", True).option("nullValue", "NULL").option("compression", "gzip").csv(f"{path}/{i:05d}")
+    return norm_df(load_impressions(spark, f"{path}/*", limit_rows=FIRST_ROWS).select(*_FIRST))
 
 
 @register(

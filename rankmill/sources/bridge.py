@@ -67,7 +67,7 @@ def task_count(spark: SparkSession, rows: int, rows_per_task: int = TASK_ROWS, a
     return max(spark.sparkContext.defaultParallelism if at_least is None else at_least, -(-rows // rows_per_task))
 
 
-def impressions(spark: SparkSession, sf_dir: str, deal: str = "srch_id") -> DataFrame:
+def impressions(spark: SparkSession, sf_dir: str, deal: str = "srch_id", slices: int = 1) -> DataFrame:
     """The 54-column impression log derived from the tables in ``sf_dir``.
 
     Tables are bound as DataFrame parameters (no global temp views), so several
@@ -78,7 +78,8 @@ def impressions(spark: SparkSession, sf_dir: str, deal: str = "srch_id") -> Data
     the SQL text has them. The rows of a longer log come dealt by ``deal`` (``srch_id`` or
     ``prop_id``): the join by that key goes last, so that what groups by it needs no
     shuffle of its own. Orders meet customers while they are narrow, lines meet orders in
-    a hash join that sorts nothing, and the number of tasks follows the lines.
+    a hash join that sorts nothing, and the number of tasks follows the lines; it is that
+    of one slice where the caller runs a longer log in ``slices``, by a filter on a key.
     """
     if deal not in ("srch_id", "prop_id"):
         raise ValueError("deal must be 'srch_id' or 'prop_id'")
@@ -87,7 +88,7 @@ def impressions(spark: SparkSession, sf_dir: str, deal: str = "srch_id") -> Data
     if lines <= COUNTED_ROWS:
         return spark.sql(bridge_sql(lambda name: "{" + name + "}"), **dict(zip(BASE_TABLES, (line, orders, part, supplier, customer), strict=True)))
     # a given number: AQE does not join the parts to large ones
-    n = max(task_count(spark, lines), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(task_count(spark, lines // slices), int(spark.conf.get("spark.sql.shuffle.partitions")))
     orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
     def with_orders(rows: DataFrame) -> DataFrame:

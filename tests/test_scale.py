@@ -85,3 +85,52 @@ def test_price_rank_is_the_same_for_large_searches(spark):
         found = price_rank(df, max_rows=most).collect()
         assert sorted(map(str, map(tuple, found))) == sorted(map(str, want)), most
     assert "SortMergeJoin" not in _plan(price_rank(df))
+
+
+def test_ordered_log_is_written_in_slices(spark, tmp_path, monkeypatch):
+    """A long log: packed files, slices in key order, every row, one search larger than a slice; shuffle files go with each slice."""
+    from rankmill.plans import registry_io
+
+    path = _tables(spark, tmp_path / "in")
+    spark.sql("SELECT id o_orderkey, id % 2 o_custkey, timestamp_ntz'1995-01-01' o_orderdate, '5-LOW' o_orderpriority FROM range(1, 60)").write.mode("overwrite").parquet(f"{path}/orders.parquet")
+    line = spark.sql(
+        "SELECT IF(id % 2 = 0, 30, 1 + id % 59) l_orderkey, 7 + id % 2 l_partkey, 3 + id % 2 l_suppkey, CAST(id % 7 AS INT) l_linenumber, 2 l_quantity, 1.0D * (id % 11) l_extendedprice, 0.01D l_discount, 0.02D l_tax, 'R' l_returnflag, 'O' l_linestatus FROM range(6000)"
+    )
+    line.write.mode("overwrite").parquet(f"{path}/lineitem.parquet")
+    monkeypatch.setattr(bridge, "COUNTED_ROWS", 0)
+    monkeypatch.setattr(registry_io, "_folder", lambda spark, name: str(tmp_path / name))
+    freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(freed)
+    got = [tuple(r) for r in registry_io.q_s02(spark, path).collect()]
+    assert spark.conf.get(freed) == was
+    want = sorted((r.l_orderkey, r.l_partkey, r.l_linenumber, r.l_extendedprice) for r in line.collect())
+    assert sorted(got) == want[:5000]
+    slices = sorted((tmp_path / "ordered-log").iterdir())
+    assert 1 < len(slices) <= registry_io.LOG_SLICES
+    files = [sorted(f for f in s.iterdir() if f.name.startswith("part-")) for s in slices]
+    assert all(f.name.endswith(".csv.gz") for fs in files for f in fs)
+    rows = []
+    for s in slices:
+        part = spark.read.option("header", True).option("inferSchema", True).csv(str(s)).select("srch_id", "prop_id", "position", "price_usd")
+        rows.append(sorted(map(tuple, part.collect())))
+    assert all(a[-1] < b[0] for a, b in zip(rows, rows[1:])) and sum(rows, []) == want
+
+
+def test_shuffle_files_of_freed_jobs_go(spark):
+    import time
+
+    def files():
+        tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(tracker.apply(i).getName().startswith("shuffle_") for i in range(tracker.size()))
+
+    from rankmill.session import shuffles_freed
+
+    before = files()
+    with shuffles_freed(spark):
+        df = spark.range(0, 1000, 1, 4).repartition(3, "id")
+        assert df.groupBy("id").count().count() == 1000
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
