@@ -134,3 +134,27 @@ def test_shuffle_files_of_freed_jobs_go(spark):
             break
         time.sleep(0.2)
     assert files() <= before
+
+
+def test_features_of_a_long_log_are_staged(spark, monkeypatch):
+    """Slices and buckets change no row: null searches, hotels and values, repeated rows, one search and one hotel above the limit."""
+    from rankmill.operators import features
+    from rankmill.schema import impression_schema
+
+    types = {f.name: f.dataType.simpleString() for f in impression_schema(True).fields}
+    made = {"srch_id": "IF(id % 11 = 0, NULL, IF(id % 4 = 0, 5, id % 23))", "prop_id": "IF(id % 13 = 0, NULL, IF(id % 3 = 0, 2, id % 9))", "date_time": "timestamp'2013-04-04 08:32:15'"}
+    cols = [f"CAST({made.get(c, f'IF(id % {7 + i} = 0, NULL, id * {i + 3} % {5 + i})')} AS {t}) {c}" for i, (c, t) in enumerate(types.items())]
+    df = spark.range(0, 400, 1, 4).selectExpr(*cols)
+    df = df.union(df.where("prop_id = 2"))
+    monkeypatch.setattr(features, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(features, "SLICES", 2)
+    monkeypatch.setattr(features, "HOTEL_SLICES", 2)
+    number = lambda r: tuple(f"{v:.9g}" if isinstance(v, float) else str(v) for v in r)
+    for most, profile in ((10_000, "default"), (60, "full")):
+        want = features.engineer_features(df, profile, max_rows=most)
+        got = features.engineer_features(df, profile, max_rows=most, long_rows=800)
+        assert got.columns == want.columns
+        assert sorted(map(number, got.collect())) == sorted(map(number, want.collect())), (most, profile)
+        if most == 10_000:  # no large search: the windows move no row
+            assert "Bucketed: true" in _plan(got) and "Exchange" not in got._jdf.queryExecution().sparkPlan().toString() + _plan(got)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("rankmill_rows")]
